@@ -23,7 +23,7 @@ PICTURES = "\\p{So}¯\\x{fe0f}\\x{20e3}\\x{200d}\\x{1f3fb}-\\x{1f3ff}"
 TERMINAL = ".!?。！？｡"
 #: Marks that a cut leaves, and an opened tag at the end.
 MARKS = r"(?i)(?:\[(?:\.\.\.|…)\]|[\[(](?:message |text |content )?(?:clipped|truncated|trimmed|snipped|cut off)[\])]|<[a-z]{1,12}|\x{fffd})\z"
-CJK = "\\p{IsHan}\\p{IsHiragana}\\p{IsKatakana}ー々"
+CJK = "\\x{3005}-\\x{3007}\\x{3040}-\\x{30ff}\\x{3400}-\\x{9fff}\\x{f900}-\\x{faff}"
 
 
 def ending(text: Column) -> Column:
@@ -57,14 +57,15 @@ def length_spikes(values: DataFrame) -> DataFrame:
 def split_uses(text: Column) -> Column:
     """The words of a text in lower case; one that ends a line or sentence has a mark at its end."""
     lower = F.lower(F.concat(text, F.lit("\n")))
-    return F.regexp_extract_all(lower, F.lit(f"(?U)[\\p{{L}}\\p{{M}}\\p{{N}}_&&[^{CJK}]]+(?:[{TERMINAL}…]+(?=\\s)|[ \\t]*[\\r\\n])?"), F.lit(0))
+    return F.regexp_extract_all(lower, F.lit(f"[\\p{{L}}\\p{{M}}\\p{{N}}_&&[^{CJK}]]+(?:[{TERMINAL}…]+(?=\\s)|[ \\t]*[\\r\\n])?"), F.lit(0))
 
 
 def split_cjk(text: Column) -> Column:
-    runs = F.regexp_extract_all(F.concat(text, F.lit("\n")), F.lit(f"(?U)[{CJK}]{{2,}}(?:[{TERMINAL}]|[ \\t]*[\\r\\n])?"), F.lit(0))
-    chars = lambda r: F.regexp_replace(r, f"(?U)[^{CJK}]+\\z", "")
-    pairs = lambda r: F.transform(F.sequence(F.lit(1), F.length(chars(r)) - 1), lambda i: F.concat(F.substr(chars(r), i, F.lit(2)), F.when((i == F.length(chars(r)) - 1) & (F.length(r) > F.length(chars(r))), "\n").otherwise("")))
-    return F.flatten(F.transform(runs, pairs))
+    runs = F.regexp_extract_all(F.concat(text, F.lit("\n")), F.lit(f"[{CJK}]{{2,}}(?:[{TERMINAL}]|[ \\t]*[\\r\\n])?"), F.lit(0))
+    parts = F.transform(runs, lambda r: F.struct(F.regexp_replace(r, f"[^{CJK}]+\\z", "").alias("c"), r.alias("r")))
+    sized = F.transform(parts, lambda p: F.struct(p["c"].alias("c"), F.length(p["c"]).alias("n"), (p["r"] != p["c"]).alias("ended")))
+    pairs = lambda p: F.transform(F.sequence(F.lit(1), p["n"] - 1), lambda i: F.concat(F.substr(p["c"], i, F.lit(2)), F.when((i == p["n"] - 1) & p["ended"], "\n").otherwise("")))
+    return F.flatten(F.transform(sized, pairs))
 
 
 def word_uses(texts: DataFrame) -> DataFrame:
@@ -78,24 +79,26 @@ def with_ends(docs: DataFrame) -> DataFrame:
     """Add what the end of each text shows."""
     core = ending(F.col("text"))
     d = docs.withColumn("core", core)
-    d = d.withColumn("line", F.trim(F.regexp_extract("core", "([^\\r\\n]*)\\z", 1)))
-    d = d.withColumn("before", F.trim(F.regexp_extract("core", "([^\\r\\n]+)[\\r\\n\\s]*[\\r\\n][^\\r\\n]*\\z", 1)))
+    lines = F.translate("core", "\r", "\n")
+    last = F.substring_index(lines, "\n", -1)
+    rest = F.expr("rtrim(' \n\t', left(translate(core, '\r', '\n'), length(core) - length(substring_index(translate(core, '\r', '\n'), '\n', -1))))")
+    d = d.withColumn("line", F.trim(last)).withColumn("before", F.trim(F.substring_index(rest, "\n", -1)))
     fences = F.regexp_count("core", F.lit("(?m)^[ \\t>\\x{200b}-\\x{200f}\\x{feff}]*```"))
     line = F.col("line")
     d = d.withColumn("in_block", fences % 2 == 1)
     d = d.withColumn("in_code", (fences % 2 == 0) & ~line.rlike("^[ >]*```") & (F.regexp_count(line, F.lit("`")) % 2 == 1))
-    d = d.withColumn("in_comment", F.col("core").rlike("(?s)<!--(?:(?!-->).)*\\z") & ~F.col("in_block"))
-    d = d.withColumn("mark", F.col("core").rlike(MARKS))
-    d = d.withColumn("dots", F.col("core").rlike("(?:…|\\.\\.\\.)\\z"))
+    d = d.withColumn("in_comment", (F.instr("core", "<!--") > 0) & (F.instr(F.substring_index("core", "<!--", -1), "-->") == 0) & ~F.col("in_block"))
+    d = d.withColumn("mark", F.col("line").rlike(MARKS))
+    d = d.withColumn("dots", F.col("line").rlike("(?:…|\\.\\.\\.)\\z"))
     d = d.withColumn("terminal", line.rlike(f"[{TERMINAL}][)\\]}}\"'’”»`*_]*\\z") & ~F.col("dots"))
     url = F.regexp_extract(line, "(https?://\\S*|www\\.\\S*)\\z", 1)
     d = d.withColumn("url", url)
     open_end = line.rlike("[,，、;；(（\\[{/\\\\=+&<|–-]\\z")
     d = d.withColumn("open_end", open_end & ~line.rlike("^([-=_*~#>])\\1*\\z"))
     d = d.withColumn("line_hash", F.xxhash64("line"))
-    word = F.lower(F.regexp_extract(F.regexp_replace("core", "(?U)[^\\p{L}\\p{M}\\p{N}_]+\\z", ""), f"(?U)(?:([{CJK}]{{1,2}})|([\\p{{L}}\\p{{M}}\\p{{N}}_&&[^{CJK}]]+))\\z", 0))
+    word = F.lower(F.regexp_extract(F.regexp_replace("line", "[^\\p{L}\\p{M}\\p{N}_]+\\z", ""), f"(?:([{CJK}]{{1,2}})|([\\p{{L}}\\p{{M}}\\p{{N}}_&&[^{CJK}]]+))\\z", 0))
     d = d.withColumn("word", word)
-    d = d.withColumn("closed", F.col("core").rlike("[)\\]}\"'’”»`*]\\z"))
+    d = d.withColumn("closed", F.col("line").rlike("[)\\]}\"'’”»`*]\\z"))
     listed = line.rlike("^(?:[-*+•]|\\d+[.)]) \\S") | line.rlike("^#{1,6} ")
     place = line.rlike("^-->") 
     d = d.withColumn("listed", listed)
@@ -125,7 +128,7 @@ def find_cuts(docs: DataFrame) -> DataFrame:
     doubtful = ends.where(~F.col("terminal") & (F.col("word") != "")).select("word").distinct()
     uses = cuts.cut(word_uses(docs.select("text")), "uses")
     # uses of the word itself and of longer ones that begin with it; pairs of CJK characters have no longer ones
-    prefixes = F.when(F.col("word").rlike(f"(?U)^[{CJK}]"), F.array("word")).otherwise(F.transform(F.sequence(F.lit(1), F.length("word")), lambda i: F.substr("word", F.lit(1), i)))
+    prefixes = F.when(F.col("word").rlike(f"^[{CJK}]"), F.array("word")).otherwise(F.transform(F.sequence(F.lit(1), F.length("word")), lambda i: F.substr("word", F.lit(1), i)))
     begins = uses.select(F.explode(prefixes).alias("word"), "n", F.col("n_end").alias("e"), F.col("word").alias("full"))
     begins = begins.join(doubtful, "word", "left_semi").groupBy("word").agg(F.sum("n").alias("n"), F.sum(F.when(F.col("full") == F.col("word"), F.col("e")).otherwise(0)).alias("n_end"), F.sum(F.when(F.col("full") == F.col("word"), F.col("n")).otherwise(0)).alias("n_word"))
     # a line of several words and a dotted end that many texts share is a phrase, not a cut
