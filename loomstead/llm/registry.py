@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-from loomstead.llm import problem1, problem2, problem3, problem6, problem7, problem8
+from loomstead.llm import problem1, problem2, problem3, problem4, problem6, problem7, problem8
 
-MODULES = (problem1, problem2, problem3, problem6, problem7, problem8)
+MODULES = (problem1, problem2, problem3, problem4, problem6, problem7, problem8)
 
 
 def queries() -> dict:
