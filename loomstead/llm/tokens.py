@@ -44,11 +44,11 @@ def read_ranks(name: str, folder: str = FOLDER) -> dict[str, int]:
 
 
 def rank_map(ranks: dict[str, int]) -> Column:
-    """The literal array of maps; Catalyst folds it to a constant once."""
+    """The literal array of maps, which Catalyst folds once. An expression should hold it once: see ``let``."""
     buckets: list[dict] = [{} for _ in range(BUCKETS)]
     for piece, rank in ranks.items():
         buckets[zlib.crc32(piece.encode()) % BUCKETS][piece] = rank
-    return F.from_json(F.lit(json.dumps(buckets)), "array<map<string,int>>")
+    return F.from_json(F.lit(json.dumps(buckets, separators=(",", ":"))), "array<map<string,int>>")
 
 
 def rank_of(table: Column, piece: Column) -> Column:
@@ -62,7 +62,7 @@ def let(value: Column, body) -> Column:
 
 
 def merge_fold(table: Column, piece: Column) -> Column:
-    """The pieces (hex) of one word after all merges, the lowest rank first, of equal ones the leftmost."""
+    """The ranks of the pieces of one word (hex) after all merges, the lowest rank first, of equal ones the leftmost."""
     rank = lambda p: rank_of(table, p)
 
     def start(parts: Column) -> Column:
@@ -91,7 +91,7 @@ def merge_fold(table: Column, piece: Column) -> Column:
 
     single = F.regexp_extract_all(piece, F.lit("(..)"), F.lit(1))
     turns = F.sequence(F.lit(1), F.greatest(F.length(piece) / 2, F.lit(1)).cast("int"))
-    return F.aggregate(turns, start(single), step, lambda s: s["parts"])
+    return F.aggregate(turns, start(single), step, lambda s: F.transform(s["parts"], rank))
 
 
 def merge_heap(word: str, ranks: dict[str, int]) -> list[int]:
@@ -120,8 +120,8 @@ def split_words(text: Column) -> Column:
 def encode_words(words: DataFrame, name: str, folder: str) -> DataFrame:
     """(word, ids) for distinct words in hex."""
     ranks = read_ranks(name, folder)
-    table = rank_map(ranks)
-    short = words.where(F.length("word") <= 2 * LONG_BYTES).select("word", F.transform(merge_fold(table, F.col("word")), lambda p: rank_of(table, p)).alias("ids"))
+    ids = let(rank_map(ranks), lambda table: merge_fold(table, F.col("word")))
+    short = words.where(F.length("word") <= 2 * LONG_BYTES).select("word", ids.alias("ids"))
 
     def long_ones(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         ranks = read_ranks(name, folder)
@@ -141,7 +141,7 @@ def encode(docs: DataFrame, name: str = "byte_bpe_50k", folder: str = FOLDER) ->
     table = rank_map(read_ranks(name, folder))
     split = docs.select("doc_id", split_words(F.col("text")).alias("words"))
     places = split.select("doc_id", F.posexplode("words").alias("pos", "w")).select("doc_id", "pos", F.hex("w").alias("word"))
-    unknown = places.where(rank_of(table, F.col("word")).isNull())
+    unknown = places.where(let(table, lambda t: rank_of(t, F.col("word"))).isNull())
     counted = cuts.cut(unknown.groupBy("word").agg(F.count(F.lit(1)).alias("n")), "words")
     hot = hot_keys(counted, ["word"], "n")
     # folding is the work: spread the distinct words evenly
@@ -150,8 +150,8 @@ def encode(docs: DataFrame, name: str = "byte_bpe_50k", folder: str = FOLDER) ->
     part = F.struct("pos", "ids")
     folded = found.groupBy("doc_id").agg(F.collect_list(part).alias("folded"))
     whole = docs.join(folded, "doc_id", "left")
-    direct = F.transform(split_words(F.col("text")), lambda w, i: F.struct(i.alias("pos"), F.array(rank_of(table, F.hex(w))).alias("ids")))
-    direct = F.filter(direct, lambda x: F.get(x["ids"], F.lit(0)).isNotNull())
+    known = lambda t: F.transform(split_words(F.col("text")), lambda w, i: F.struct(i.alias("pos"), F.array(rank_of(t, F.hex(w))).alias("ids")))
+    direct = F.filter(let(table, known), lambda x: F.get(x["ids"], F.lit(0)).isNotNull())
     none = F.array().cast("array<struct<pos:int,ids:array<int>>>")
     ordered = F.array_sort(F.concat(direct, F.coalesce("folded", none)))
     return whole.select("doc_id", F.flatten(F.transform(ordered, lambda x: x["ids"])).alias("ids"))
@@ -164,5 +164,5 @@ def decode(encoded: DataFrame, name: str = "byte_bpe_50k", folder: str = FOLDER)
     for p, r in ranks.items():
         pieces[r] = p
     table = F.from_json(F.lit(json.dumps(pieces)), "array<string>")
-    one = lambda i: F.coalesce(F.get(table, i), F.raise_error(F.lit("an id of no piece")))
-    return encoded.withColumn("decoded", F.unhex(F.array_join(F.transform("ids", one), "")).cast("string"))
+    one = lambda t: lambda i: F.coalesce(F.get(t, i), F.raise_error(F.lit("an id of no piece")))
+    return encoded.withColumn("decoded", F.unhex(F.array_join(let(table, lambda t: F.transform("ids", one(t))), "")).cast("string"))
