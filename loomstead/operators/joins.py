@@ -21,17 +21,21 @@ def hot_keys(counts: DataFrame, keys: Sequence[str], count: str, share: int = HO
     for k in keys:
         known = known & F.col(k).isNotNull()
     rows = counts.where(known & (F.col(count) * F.lit(share) > F.lit(total)) & (F.col(count) > 1000))
-    return [tuple(r) for r in rows.select(*keys).collect()]
+    return [tuple(r) for r in rows.select(*keys).collect()]  # fewer than ``share``
 
 
 def _among(keys: Sequence[str], values: list[tuple]):
-    if len(keys) == 1:
+    if len(keys) == 1 and not isinstance(values[0][0], tuple):
         return F.coalesce(F.col(keys[0]).isin([v[0] for v in values]), F.lit(False))
     hit = F.lit(False)
     for v in values:
         one = F.lit(True)
         for k, x in zip(keys, v):
-            one = one & F.col(k).eqNullSafe(F.lit(x))
+            if isinstance(x, tuple):  # a struct
+                for f in x.__fields__:
+                    one = one & F.col(f"{k}.{f}").eqNullSafe(F.lit(x[f]))
+            else:
+                one = one & F.col(k).eqNullSafe(F.lit(x))
         hit = hit | one
     return hit
 

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -11,50 +13,52 @@ ISSUE_TYPES = ("issue", "issue_comment")
 FOUND = ["table_name", "record_id", "period", "outcome"]
 
 
-def parent_keys(parents: DataFrame) -> DataFrame:
-    """One row per parent id: repository, number, whether it is deleted, and when it was first collected."""
-    return parents.where(F.col("id").isNotNull()).groupBy("id").agg(
+def key(space: str, repo: Column | None, number: Column) -> Column:
+    """A key of one space: ids of issues (i) or pull requests (p), numbers of any parent (n) or of pull requests (np)."""
+    return F.struct(F.lit(space).alias("space"), (repo if repo is not None else F.lit(0)).cast("long").alias("repo"), number.cast("long").alias("number"))
+
+
+def parent_rows(issues: DataFrame, pulls: DataFrame) -> DataFrame:
+    """One row per parent: kind, id, repository, number, whether it is deleted, and when it was first collected."""
+    wanted = ["id", "repository_id", "number", "state", "collected_at"]
+    rows = issues.select(F.lit("i").alias("kind"), *wanted).unionByName(pulls.select(F.lit("p").alias("kind"), *wanted))
+    return rows.where(F.col("id").isNotNull()).groupBy("kind", "id").agg(
         F.first("repository_id", True).alias("p_repo"),
-        F.first("number", True).cast("long").alias("p_number"),
+        F.first("number", True).alias("p_number"),
         F.max(F.coalesce(F.col("state") == "deleted", F.lit(False))).alias("p_deleted"),
         F.min("collected_at").alias("p_first"),
     )
 
 
-def once(rows: DataFrame, *firsts: Column) -> DataFrame:
-    """Rows delivered several times count once, at their first time."""
-    return rows.where(F.col("record_id").isNotNull()).groupBy("record_id", "fk").agg(F.min("seen").alias("seen"), F.min("at").alias("at"), *firsts)
-
-
-def outcome_of(late: bool) -> Column:
-    o = F.when(F.col("p_deleted").isNull(), "missing").when(F.col("p_deleted"), "deleted")
-    return o.when(F.col("p_first") > F.col("seen"), "late") if late else o
+def parent_keys(parents: DataFrame) -> DataFrame:
+    """Parents by every key that may name them. Where two share a number, the live and the earlier one count."""
+    by_id = F.when(F.col("kind") == "i", key("i", None, F.col("id"))).otherwise(key("p", None, F.col("id")))
+    numbered = F.col("p_repo").isNotNull() & F.col("p_number").isNotNull()
+    any_, pull = F.when(numbered, key("n", F.col("p_repo"), F.col("p_number"))), F.when(numbered & (F.col("kind") == "p"), key("np", F.col("p_repo"), F.col("p_number")))
+    rows = parents.select(F.explode(F.array(by_id, any_, pull)).alias("fk"), "p_deleted", "p_first").where("fk is not null")
+    return rows.groupBy("fk").agg(F.min("p_deleted").alias("p_deleted"), F.min("p_first").alias("p_first"))
 
 
-def orphan_references(refs: DataFrame, parents: DataFrame, table_name: str, late: bool = True) -> DataFrame:
-    """Cases among ``refs`` (record_id, fk, seen, at) whose key ``fk`` names no live, earlier row of ``parents`` (fk, p_deleted, p_first).
+def orphan_references(refs: DataFrame, parents: DataFrame) -> DataFrame:
+    """Cases among ``refs`` (table_name, record_id, fk, seen, at) whose ``fk`` names no live, earlier row of ``parents`` (fk, p_deleted, p_first).
 
-    The distinct non-null keys are taken first and matched against the parents (an anti-join keeps the missing ones); only
-    the keys that can make a case are joined back to the rows. Null keys name nothing and are no cases, rows without an id
-    are ignored, an empty parent table makes every reference ``missing``, a null time never makes ``late``.
+    The distinct keys are taken first and matched against the parents (an anti-join keeps the missing ones); only the keys
+    that can make a case are joined back to the rows. A key without a number names nothing and is no case, rows without an
+    id are ignored, an empty parent table makes every reference ``missing``, a null ``seen`` is never ``late``. Rows
+    delivered several times count once, at their first time.
     """
-    refs = refs.where(F.col("fk").isNotNull())
-    keys = refs.groupBy("fk").agg(F.min("seen").alias("_earliest"))
+    refs = refs.where("record_id is not null and fk.number is not null and fk.repo is not null")
+    refs = refs.groupBy("table_name", "record_id", "fk").agg(F.min("seen").alias("seen"), F.min("at").alias("at"))
+    keys = refs.groupBy("fk").agg(F.min("seen").alias("earliest"))
     missing = keys.join(parents, "fk", "left_anti").select("fk", F.lit(None).cast("boolean").alias("p_deleted"), F.lit(None).cast("timestamp_ntz").alias("p_first"))
-    doubtful = keys.join(parents, "fk").where(F.col("p_deleted") | (F.lit(late) & (F.col("p_first") > F.col("_earliest")))).select("fk", "p_deleted", "p_first")
+    doubtful = keys.join(parents, "fk").where(F.col("p_deleted") | (F.col("p_first") > F.col("earliest"))).select("fk", "p_deleted", "p_first")
     cases = join_unique(refs, missing.unionByName(doubtful), ["fk"], "inner")
-    return cases.select(F.lit(table_name).alias("table_name"), "record_id", F.date_format("at", "yyyy-MM").alias("period"), outcome_of(late).alias("outcome")).where("outcome is not null")
-
+    outcome = F.when(F.col("p_deleted").isNull(), "missing").when(F.col("p_deleted"), "deleted").when(F.col("p_first") > F.col("seen"), "late")
+    return cases.select("table_name", "record_id", F.date_format("at", "yyyy-MM").alias("period"), outcome.alias("outcome")).where("outcome is not null")
 
-def comment_references(comments: DataFrame, fk: str) -> DataFrame:
-    return once(comments.select(F.col("id").alias("record_id"), F.col(fk).alias("fk"), F.col("collected_at").alias("seen"), F.col("created_at").alias("at")))
 
-
-def corpus_references(corpus: DataFrame, of_issues: bool) -> DataFrame:
-    is_issue = F.col("source_type").isin(*ISSUE_TYPES)
-    rows = corpus.where(is_issue if of_issues else ~is_issue)
-    at = F.col("source_updated_at")
-    return once(rows.select(F.col("id").alias("record_id"), F.col("parent_id").alias("fk"), at.alias("seen"), at.alias("at")))
+def reference(rows: DataFrame, table_name: str, fk: Column, seen: Column, at: Column) -> DataFrame:
+    return rows.select(F.lit(table_name).alias("table_name"), F.col("id").alias("record_id"), fk.alias("fk"), seen.alias("seen"), at.alias("at"))
 
 
 def item_number() -> Column:
@@ -67,40 +71,24 @@ def normal_category(column: str = "category") -> Column:
     return F.regexp_replace(F.lower(F.trim(column)), r"[\s_-]+", "_")
 
 
-def item_references(items: DataFrame, review: bool) -> DataFrame:
-    """References of quarantined items. Invalid records name nothing; a null category excludes nothing."""
-    rows = items.where(F.coalesce(normal_category() != "invalid_record", F.lit(True)))
-    rows = rows.where(F.coalesce(F.col("stream") == "review_comments", F.lit(False)) == F.lit(review))
-    key = F.struct(F.col("repository_id").alias("repo"), item_number().alias("number"))
-    rows = rows.select(F.col("id").alias("record_id"), key.alias("fk"), F.col("first_seen_at").alias("seen"), F.col("first_seen_at").alias("at"))
-    return once(rows.where("fk.repo is not null and fk.number is not null"))
-
-
-def by_number(*parents: DataFrame) -> DataFrame:
-    """Parents by (repository, number); where two kinds share a number, the live and the earlier one count."""
-    rows = parents[0]
-    for p in parents[1:]:
-        rows = rows.unionByName(p)
-    rows = rows.where("p_repo is not null and p_number is not null")
-    return rows.groupBy(F.struct(F.col("p_repo").alias("repo"), F.col("p_number").alias("number")).alias("fk")).agg(F.min("p_deleted").alias("p_deleted"), F.min("p_first").alias("p_first"))
-
-
 def find_orphans(issues: DataFrame, pulls: DataFrame, issue_comments: DataFrame, pr_comments: DataFrame, corpus: DataFrame, items: DataFrame) -> DataFrame:
-    """All orphan references (table_name, record_id, period, outcome), each once. Extra columns of the inputs are ignored."""
-    i, p = parent_keys(issues), parent_keys(pulls)
-    ik, pk = (x.select(F.col("id").alias("fk"), "p_deleted", "p_first") for x in (i, p))
-    parts = [
-        orphan_references(comment_references(issue_comments, "issue_id"), ik, "issue_comments"),
-        orphan_references(comment_references(pr_comments, "pull_request_id"), pk, "pr_comments"),
-        orphan_references(corpus_references(corpus, True), ik, "corpus", late=False),
-        orphan_references(corpus_references(corpus, False), pk, "corpus", late=False),
-        orphan_references(item_references(items, False), by_number(i, p), "unresolved_collection_items"),
-        orphan_references(item_references(items, True), by_number(p), "unresolved_collection_items"),
+    """All orphan references (table_name, record_id, period, outcome), each once. Extra columns of the inputs are ignored.
+
+    Corpus rows are never late. Items that are invalid records name nothing; a null category excludes nothing.
+    """
+    seen, at, changed = F.col("collected_at"), F.col("created_at"), F.col("source_updated_at")
+    parent = F.when(F.col("source_type").isin(*ISSUE_TYPES), key("i", None, F.col("parent_id"))).otherwise(key("p", None, F.col("parent_id")))
+    valid = F.coalesce(normal_category() != "invalid_record", F.lit(True))
+    review = F.coalesce(F.col("stream") == "review_comments", F.lit(False))
+    named = F.when(review, key("np", F.col("repository_id"), item_number())).otherwise(key("n", F.col("repository_id"), item_number()))
+    refs = [
+        reference(issue_comments, "issue_comments", key("i", None, F.col("issue_id")), seen, at),
+        reference(pr_comments, "pr_comments", key("p", None, F.col("pull_request_id")), seen, at),
+        reference(corpus, "corpus", parent, F.lit(None).cast("timestamp_ntz"), changed),
+        reference(items.where(valid), "unresolved_collection_items", named, F.col("first_seen_at"), F.col("first_seen_at")),
     ]
-    out = parts[0]
-    for x in parts[1:]:
-        out = out.unionByName(x)
-    return out.select(*FOUND).distinct()
+    found = orphan_references(reduce(DataFrame.unionByName, refs), parent_keys(parent_rows(issues, pulls)))
+    return found.select(*FOUND).distinct()
 
 
 def orphan_report(found: DataFrame) -> DataFrame:
