@@ -53,8 +53,12 @@ class Store:
             return self.spark.createDataFrame([], TABLES[table])
         return self.spark.read.schema(TABLES[table]).parquet(f"{self.base}/{version}")
 
-    def commit(self, tables: dict[str, DataFrame]) -> None:
-        """Write new snapshots of ``tables`` and switch to all of them at once, tried again after passing I/O errors."""
+    def commit(self, tables: dict[str, DataFrame | None]) -> None:
+        """Write new snapshots of ``tables`` and switch to all of them at once, tried again after passing I/O errors.
+
+        None stands for a table that stays as it is.
+        """
+        tables = {name: df for name, df in tables.items() if df is not None}
         if not tables:
             return
         written = {}
@@ -79,8 +83,10 @@ class Store:
             os.fsync(f.fileno())
         os.replace(new, self.manifest)
 
-    def merged(self, table: str, batch: DataFrame, order: list | None = None) -> DataFrame:
-        """The table after the batch: keyed merge, ids for new rows, second unique key checked."""
+    def merged(self, table: str, batch: DataFrame, order: list | None = None) -> DataFrame | None:
+        """The table after the batch: keyed merge, ids for new rows, second unique key checked. None after an empty batch."""
+        if batch.isEmpty():
+            return None
         base = self.read(table)
         cuts = Cuts(self.spark, f"merge-{table}")
         out = upsert(base, batch, KEYS[table], UPDATES.get(table, ()), order)

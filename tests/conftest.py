@@ -13,7 +13,7 @@ DATA = "/root/testdata/sf0.001"
 def spark():
     from loomstead.session import local_session
 
-    s = local_session(4, "tests", **{"spark.sql.shuffle.partitions": "4", "spark.driver.memory": "6g"})
+    s = local_session(4, "tests", **{"spark.sql.shuffle.partitions": "2", "spark.driver.memory": "6g", "spark.sql.codegen.wholeStage": "false", "spark.sql.codegen.factoryMode": "NO_CODEGEN"})
     yield s
     s.stop()
 
@@ -22,6 +22,4 @@ def spark():
 def store(spark, tmp_path):
     from loomstead.sources.store import Store
 
-    s = Store(spark, str(tmp_path / "w"), sleep=lambda _: None)
-    s.create()
-    return s
+    return Store(spark, str(tmp_path / "w"), sleep=lambda _: None)

@@ -149,6 +149,7 @@ def test_landed_files_as_a_stream(spark, store, tmp_path):
 
 
 def test_commit_is_all_or_nothing_and_tries_again(spark, store, monkeypatch):
+    store.create()
     before, real, n = store.versions(), Store._switch, []
 
     def broken(self, versions):
