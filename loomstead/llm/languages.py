@@ -37,7 +37,7 @@ NO_LANGUAGE = ("", "unknown", "und", "undetermined", "n/a", "na", "none", "null"
 
 def label_code(column: Column) -> Column:
     """The ISO 639-1 code a label names; null if it names none; the label itself, lower-cased, for other languages."""
-    base = F.lower(F.trim(column))
+    base = F.substr(F.lower(F.trim(column)), F.lit(1), F.lit(64))  # no label is longer
     base = F.regexp_extract(base, r"^([^\s_.@]+?)(?:[-_.@][a-z0-9]+)*$", 1)
     base = F.when(F.lower(F.trim(column)).isin(*NO_LANGUAGE), "").otherwise(base)
     out = F.when(base.isin(*NO_LANGUAGE), F.lit(None))
@@ -57,7 +57,7 @@ _BULLET = re.compile(r"^(?:[-*+•]|\d+[.)])\s+")
 _LOG = re.compile(r"^(?:error|warning|note|help|info|debug|trace|panic|thread)\b[^ ]*[:\[]|^-->|^at \S+\(|^\s*\||^[\[{(]?\d{4}-\d\d-\d\d|^[A-Za-z_-]+: \S+$|^[\w-]+ ?= ?[\[\"{]|^cc @|^\$ ", re.I)
 _END = re.compile(r"[.!?…。！？｡][)\]\"'»”’`*_]*$")
 # what makes a sentence one of links, names or personal data
-_DATA = re.compile(r"https?:|www\.|\S@\S|\(at\)|\[at\]|(?<!\w)@\w|sha\d+:|\d[\d .()/-]{7,}\d|\d{4,}|\b(?:Dr|Mr|Mrs|Ms|Prof|Herr|Frau|Mme|Sra?)\.? [A-Z]|[A-Z][a-z]+ (?:[A-Z]\. )?[A-Z][a-z]+(?:-[A-Z][a-z]+)?(?=[\s,.;:)]|$)")
+_DATA = re.compile(r"https?:|www\.|\S@\S|\(at\)|\[at\]|(?<!\w)@\w|sha\d+:|\d[\d .()/-]{7,}\d|\d{4,}|\b(?:Dr|Mr|Mrs|Ms|Prof|Herr|Frau|Mme|Sra?)\.? [A-Z]|(?:(?<=[a-z:,] )|^(?=\S+ (?:[A-Z]\. )?\S+$))[A-Z][a-z]+,? (?:[A-Z]\. )?[A-Z][a-z]+(?:-[A-Z][a-z]+)?(?=[\s,.;:)]|$)")
 _IDENT = re.compile(r"\S*(?:::|_|->|=>|\(\)|[A-Za-z0-9]-[A-Za-z0-9]|[a-z][A-Z]|\.[A-Za-z]|\d)\S*|\S*[/\\]\S*")
 _LETTER = re.compile(r"[^\W\d_]")
 

@@ -18,7 +18,7 @@ BLOCK_WORDS = 500_000
 SHARD_WORDS = 400_000
 
 
-class TestSuffixes:
+class ItemSuffixes:
     """The suffixes of at least ``least`` words of test items, as sequences of word numbers (from 1)."""
 
     def __init__(self, items: list[tuple[int, list[str]]], least: int):
@@ -52,7 +52,7 @@ def suffix_array(tokens: np.ndarray, depth: int) -> tuple[np.ndarray, np.ndarray
     return at[order], keys[order]
 
 
-def search(shard: list[tuple[int, list[str]]], tests: TestSuffixes) -> pd.DataFrame:
+def search(shard: list[tuple[int, list[str]]], tests: ItemSuffixes) -> pd.DataFrame:
     """Longest verbatim match of each (doc_id, item_id) with at least ``least`` words, and the word of the document it starts at."""
     empty = pd.DataFrame({"doc_id": [], "item_id": [], "n_words": [], "at_word": []}).astype("int64")
     number = tests.numbers.get
@@ -83,18 +83,18 @@ def search(shard: list[tuple[int, list[str]]], tests: TestSuffixes) -> pd.DataFr
     return pd.DataFrame({"doc_id": ids[d], "item_id": best["item_id"].to_numpy(), "n_words": best["n_words"].to_numpy(), "at_word": best["pos"].to_numpy() - starts[d]})
 
 
-def item_blocks(items: DataFrame, least: int) -> Iterator[TestSuffixes]:
+def item_blocks(items: DataFrame, least: int) -> Iterator[ItemSuffixes]:
     """Blocks of items, each of at most BLOCK_WORDS words (or one item), read one after the other."""
     block, size = [], 0
     for row in items.where("item_id is not null and text is not null").select("item_id", "text").distinct().orderBy("item_id").toLocalIterator():
         w = runs(clean_value(row["text"]))
         if block and size + len(w) > BLOCK_WORDS:
-            yield TestSuffixes(block, least)
+            yield ItemSuffixes(block, least)
             block, size = [], 0
         block.append((row["item_id"], w))
         size += len(w)
     if block:
-        yield TestSuffixes(block, least)
+        yield ItemSuffixes(block, least)
 
 
 def find_leaks(documents: DataFrame, items: DataFrame, least: int = 12) -> DataFrame:
@@ -105,7 +105,7 @@ def find_leaks(documents: DataFrame, items: DataFrame, least: int = 12) -> DataF
     each pair is reported, of equal ones the first.
     """
 
-    def run(tests: TestSuffixes):
+    def run(tests: ItemSuffixes):
         def shards(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
             shard, size = [], 0
             for pdf in batches:

@@ -27,8 +27,10 @@ CJK = "\\x{3005}-\\x{3007}\\x{3040}-\\x{30ff}\\x{3400}-\\x{9fff}\\x{f900}-\\x{fa
 
 
 def ending(text: Column) -> Column:
-    """The text without blanks, invisible characters, pictures and smileys at its end."""
-    return F.regexp_replace(text, f"(?U)(?:[{INVISIBLE}{PICTURES}]|(?<=\\s)[:;]-?[)(DP])+\\z", "")
+    """The text without blanks, invisible characters, pictures and a smiley at its end."""
+    kinds = f"[{INVISIBLE}{PICTURES}]"
+    strip = lambda c: F.regexp_replace(c, f"(?U)(?<!{kinds}){kinds}++\\z", "")
+    return strip(F.regexp_replace(strip(text), "(?<=\\s)[:;]-?[)(DP]\\z", ""))
 
 
 def length_spikes(values: DataFrame) -> DataFrame:
@@ -105,7 +107,7 @@ def with_ends(docs: DataFrame) -> DataFrame:
     d = d.withColumn("place", place)
     signed = F.col("before").rlike("(?i)^(?:--|[=_-]{3,}|(?:best |kind )?regards,?|best,?|cheers,?|thanks[\\w ]*,?|\\S+@\\S+|\\S+(?: \\S+){0,2},)\\z") & (F.size(F.split(line, " +")) <= 3)
     d = d.withColumn("signed", signed)
-    few = (F.size(F.split("core", "\\s+")) <= 2) & (F.length("core") <= 20)
+    few = (F.size(F.split("core", "\\s+")) <= 2) & (F.length("core") <= 20) & ~F.col("open_end")
     return d.withColumn("few", few)
 
 
