@@ -10,6 +10,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from loomstead.operators.joins import join_unique
 from loomstead.sources.shared import Cuts
 
 #: A spike has at least so many different texts, and so many times the mean of the lengths within WINDOW around it.
@@ -107,7 +108,7 @@ def with_ends(docs: DataFrame) -> DataFrame:
     d = d.withColumn("place", place)
     signed = F.col("before").rlike("(?i)^(?:--|[=_-]{3,}|(?:best |kind )?regards,?|best,?|cheers,?|thanks[\\w ]*,?|\\S+@\\S+|\\S+(?: \\S+){0,2},)\\z") & (F.size(F.split(line, " +")) <= 3)
     d = d.withColumn("signed", signed)
-    few = (F.size(F.split("core", "\\s+")) <= 2) & (F.length("core") <= 20) & ~F.col("open_end")
+    few = (F.size(F.split("core", "\\s+")) <= 2) & (F.length("core") <= 20) & ~line.rlike("[,，、;；]\\z")
     return d.withColumn("few", few)
 
 
@@ -119,12 +120,16 @@ def find_cuts(docs: DataFrame) -> DataFrame:
     """
     cuts = Cuts(docs.sparkSession, "truncation")
     docs = docs.where("doc_id is not null and text is not null").select("doc_id", "source", "text")
-    spikes = F.broadcast(length_spikes(docs).select(F.col("source").alias("s"), "unit", "length"))
+    spikes = cuts.cut(length_spikes(docs).select(F.coalesce("source", F.lit("")).alias("s"), F.col("source").isNull().alias("no_source"), "unit", "length"), "spikes")
     ends = with_ends(docs).where("core <> ''")
-    chars, bytes_ = F.length("text"), F.octet_length(F.regexp_replace("text", "\\x{fffd}+\\z", ""))
-    off = F.col("text").endswith("�")
-    at = ((F.col("unit") == "chars") & (F.col("length") == chars)) | ((F.col("unit") == "bytes") & F.when(off, F.col("length").between(bytes_, bytes_ + 3)).otherwise(F.col("length") == bytes_))
-    hit = ends.join(spikes, F.col("source").eqNullSafe(F.col("s")) & at, "left_semi").select("doc_id").distinct().withColumn("at_spike", F.lit(True))
+    bytes_, off = F.octet_length(F.regexp_replace("text", "\\x{fffd}+\\z", "")), F.col("text").endswith("�")
+    # a limit in bytes may fall within a character: then up to three bytes of it are gone
+    sizes = F.concat(
+        F.array(F.struct(F.lit("chars").alias("unit"), F.length("text").alias("length"))),
+        F.transform(F.sequence(bytes_, bytes_ + F.when(off, 3).otherwise(0)), lambda n: F.struct(F.lit("bytes").alias("unit"), n.alias("length"))),
+    )
+    sized = docs.select("doc_id", F.coalesce("source", F.lit("")).alias("s"), F.col("source").isNull().alias("no_source"), F.explode(sizes).alias("x")).select("doc_id", "s", "no_source", "x.unit", "x.length")
+    hit = join_unique(sized, spikes, ["s", "no_source", "unit", "length"], "inner").select("doc_id").distinct().withColumn("at_spike", F.lit(True))
     kept = ["doc_id", "source", "in_block", "in_code", "in_comment", "mark", "dots", "terminal", "url", "open_end", "word", "closed", "listed", "place", "signed", "few", "line", "line_hash"]
     ends = cuts.cut(ends.join(hit, "doc_id", "left").select(*kept, F.coalesce("at_spike", F.lit(False)).alias("at_spike")), "ends")
     doubtful = ends.where(~F.col("terminal") & (F.col("word") != "")).select("word").distinct()
@@ -148,6 +153,7 @@ def find_cuts(docs: DataFrame) -> DataFrame:
         .when(F.col("mark"), "mark")
         .when(F.col("at_spike") & ~F.col("terminal") & ~F.col("line").rlike("^[ >]*```"), "limit")
         .when(F.col("terminal") | F.col("few") | F.col("signed") | F.col("same_line").isNotNull(), None)
+        .when(F.col("line").rlike("\\d{5} \\p{Lu}\\p{L}+\\z"), None)  # a postal address
         .when(F.col("line").rlike("<[^<>\\s]+[@:][^<>\\s]+>\\z"), None)
         .when(F.col("url") != "", F.when(~url_whole, "link"))
         .when(F.col("place"), F.when(~place_whole, "link"))
