@@ -142,11 +142,13 @@ def encode(docs: DataFrame, name: str = "byte_bpe_50k", folder: str = FOLDER) ->
     split = docs.select("doc_id", split_words(F.col("text")).alias("words"))
     places = split.select("doc_id", F.posexplode("words").alias("pos", "w")).select("doc_id", "pos", F.hex("w").alias("word"))
     unknown = places.where(let(table, lambda t: rank_of(t, F.col("word"))).isNull())
-    counted = cuts.cut(unknown.groupBy("word").agg(F.count(F.lit(1)).alias("n")), "words")
-    hot = hot_keys(counted, ["word"], "n")
+    # long words travel as a digest
+    key = F.when(F.length("word") > 32, F.md5("word")).otherwise(F.col("word"))
+    counted = cuts.cut(unknown.groupBy("word").agg(F.count(F.lit(1)).alias("n")).withColumn("key", key), "words")
+    hot = hot_keys(counted, ["key"], "n")
     # folding is the work: spread the distinct words evenly
     encoded = cuts.cut(encode_words(counted.select("word").repartition(docs.sparkSession.sparkContext.defaultParallelism * 4), name, folder), "encoded")
-    found = join_unique(unknown, encoded, ["word"], "inner", hot)
+    found = join_unique(unknown.select("doc_id", "pos", key.alias("key")), encoded.select(key.alias("key"), "ids"), ["key"], "inner", hot)
     part = F.struct("pos", "ids")
     folded = found.groupBy("doc_id").agg(F.collect_list(part).alias("folded"))
     whole = docs.join(folded, "doc_id", "left")
