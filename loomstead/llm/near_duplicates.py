@@ -1,14 +1,17 @@
 """Near-duplicate texts by multi-index hashing: Hamming balls within fingerprint segments, then complete distances.
 
-Texts with equal shingle sets form a class; only one fingerprint per class takes part. A fingerprint has SEGMENTS segments
-of WIDTH bits (one-bit min-hashes of runs of SKETCH_WORDS words) and CHECK_BITS more. Each segment is filed twice, by its
-upper and by its lower half. Two segments at most one bit apart agree in one half, so within a bucket of one half the ball
-of radius 1 around the other half is enumerated and looked up; nothing but two entries per segment is shuffled.
+Texts with equal shingle sets form a class; only one fingerprint per class takes part. A fingerprint has segments of a few
+symbols (a byte of a min-hash of the shingles each) and CHECK_BITS one-bit min-hashes more; how many there are, and the
+largest distances, follow from the similarity (``Plan``). Each segment is filed twice, by its upper and by its lower half.
+Two segments at most one symbol apart agree in one half, so within a bucket of one half the ball of radius 1 around the
+other half is looked up; nothing but two entries per segment is shuffled.
 """
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
+from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
@@ -16,17 +19,59 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from loomstead.llm.components import hash_to_min
-from loomstead.llm.sketches import Vocabulary, bit_sketch, segments, shingle_hashes, words
+from loomstead.llm.sketches import Vocabulary, min_sketch, segments, shingle_hashes, words
 from loomstead.sources.shared import Cuts
 
-SEGMENTS, WIDTH, CHECK_BITS, SKETCH_WORDS = 20, 24, 128, 2
-HALF = WIDTH // 2
-#: Largest share of differing bits, over the check bits and over the whole fingerprint, of a pair that is verified.
-CHECK_SHARE, WHOLE_SHARE = 0.28, 0.24
+SYMBOL_BITS, CHECK_BITS = 8, 128
+SYMBOL = (1 << SYMBOL_BITS) - 1
+#: Chance that a pair at exactly the stated similarity meets in no segment, and that it exceeds a largest distance.
+MISS, TAIL = 3e-4, 1e-4
+#: Longer segments are preferred, as unlike texts meet in fewer of them, while so many segments are enough.
+WIDTHS, MOST_SEGMENTS = (6, 4, 2), 64
 BLOCK = 1 << 20
 
 
-def fingerprints(texts: DataFrame, shingle: int, least_words: int) -> DataFrame:
+def _largest(n: int, share: float) -> int:
+    """The least distance that ``n`` positions, each different with chance ``share``, exceed with a chance of TAIL or less."""
+    above, k = 1.0, -1
+    while above > TAIL and k < n:
+        k += 1
+        above -= math.comb(n, k) * share**k * (1 - share) ** (n - k)
+    return k
+
+
+@dataclass(frozen=True)
+class Plan:
+    """What the index needs so that pairs of a Jaccard similarity are found, whatever their texts differ in."""
+
+    segments: int
+    width: int  # symbols of a segment
+    check: int  # largest distances of a pair that is verified: check bits, symbols
+    whole: int
+
+    @property
+    def half(self) -> int:
+        """Bits of half a segment."""
+        return self.width * SYMBOL_BITS // 2
+
+    @property
+    def symbols(self) -> int:
+        return self.segments * self.width
+
+    @staticmethod
+    def of(similarity: float) -> Plan:
+        if not 0 < similarity <= 1:
+            raise ValueError("the similarity is above 0 and at most 1")
+        same = similarity + (1 - similarity) / (1 << SYMBOL_BITS)
+        for width in WIDTHS:
+            meet = same**width + width * (1 - same) * same ** (width - 1)
+            segments = 1 if meet >= 1 else max(1, math.ceil(math.log(MISS) / math.log1p(-meet)))
+            if segments <= MOST_SEGMENTS:
+                break
+        return Plan(segments, width, _largest(CHECK_BITS, (1 - similarity) / 2), _largest(segments * width, 1 - same))
+
+
+def fingerprints(texts: DataFrame, shingle: int, least_words: int, plan: Plan) -> DataFrame:
     """(id, set_key, segs, c1, c2) of the texts (id, text) with at least ``least_words`` words."""
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -43,22 +88,22 @@ def fingerprints(texts: DataFrame, shingle: int, least_words: int) -> DataFrame:
                         continue
                     ids = vocabulary.ids(w)
                     keep.append(i)
-                    keys.append(xxhash.xxh3_128_digest(shingle_hashes(ids, shingle).tobytes()))
-                    sets.append(shingle_hashes(ids, SKETCH_WORDS))
+                    sets.append(shingle_hashes(ids, shingle))
+                    keys.append(xxhash.xxh3_128_digest(sets[-1].tobytes()))
                 if not keep:
                     continue
-                bits = bit_sketch(sets, SEGMENTS * WIDTH + CHECK_BITS)
-                check = np.packbits(bits[:, SEGMENTS * WIDTH :], axis=1).view(np.int64)
-                yield pd.DataFrame({"id": keep, "set_key": keys, "segs": list(segments(bits[:, : SEGMENTS * WIDTH], WIDTH)), "c1": check[:, 0], "c2": check[:, 1]})
+                sketch = min_sketch(sets, plan.symbols + CHECK_BITS, SYMBOL_BITS)
+                check = np.packbits(sketch[:, plan.symbols :] >> (SYMBOL_BITS - 1), axis=1).view(np.int64)
+                yield pd.DataFrame({"id": keep, "set_key": keys, "segs": list(segments(sketch[:, : plan.symbols], plan.width, SYMBOL_BITS)), "c1": check[:, 0], "c2": check[:, 1]})
 
-    return texts.select("id", "text").where("id is not null and text is not null").mapInPandas(run, "id long, set_key binary, segs array<int>, c1 long, c2 long")
+    return texts.select("id", "text").where("id is not null and text is not null").mapInPandas(run, "id long, set_key binary, segs array<long>, c1 long, c2 long")
 
 
-def entries(classes: DataFrame) -> DataFrame:
+def entries(classes: DataFrame, plan: Plan) -> DataFrame:
     """Two entries per segment: (k, id, c1, c2), where k holds half, segment number, the half to match and the other half."""
     s = classes.select("id", "c1", "c2", F.posexplode("segs").alias("pos", "seg"))
-    low, high = F.col("seg").bitwiseAND((1 << HALF) - 1), F.shiftright("seg", HALF)
-    key = lambda half, match, rest: ((F.lit(half * SEGMENTS) + F.col("pos")).cast("long") * (1 << WIDTH)) + match * (1 << HALF) + rest
+    low, high = F.col("seg").bitwiseAND((1 << plan.half) - 1), F.shiftright("seg", plan.half)
+    key = lambda half, match, rest: ((F.lit(half * plan.segments) + F.col("pos")).cast("long") * (1 << 2 * plan.half)) + match * (1 << plan.half) + rest
     return s.select(F.explode(F.array(key(0, high, low), key(1, low, high))).alias("k"), "id", "c1", "c2")
 
 
@@ -78,29 +123,26 @@ def _ranges(left: np.ndarray, right: np.ndarray, at: np.ndarray) -> Iterator[tup
         done, start = int(ends[stop - 1]), stop
 
 
-def _bucket_pairs(k: np.ndarray, ids: np.ndarray, c: np.ndarray, most: int) -> Iterator[pd.DataFrame]:
+def _bucket_pairs(k: np.ndarray, ids: np.ndarray, c: np.ndarray, plan: Plan) -> Iterator[pd.DataFrame]:
     """Pairs within whole buckets; k is sorted."""
-
-    def passed(i: np.ndarray, j: np.ndarray) -> pd.DataFrame:
-        far = np.bitwise_count(c[i, 0] ^ c[j, 0]).astype(np.int16) + np.bitwise_count(c[i, 1] ^ c[j, 1])
-        ok = (far <= most) & (ids[i] != ids[j])
-        a, b = ids[i[ok]], ids[j[ok]]
-        return pd.DataFrame({"a": np.minimum(a, b), "b": np.maximum(a, b)})
-
-    upper = (k >> WIDTH) < SEGMENTS
-    at = np.flatnonzero(upper)
-    for i, j in _ranges(at + 1, np.searchsorted(k, k[at], "right"), at):
-        yield passed(i, j)
-    for bit in range(HALF):
-        at = np.flatnonzero((k >> bit) & 1 == 0)
-        ball = k[at] | (1 << bit)
-        for i, j in _ranges(np.searchsorted(k, ball, "left"), np.searchsorted(k, ball, "right"), at):
-            yield passed(i, j)
-
-
-def candidates(filed: DataFrame) -> DataFrame:
-    """Distinct pairs (a, b), a < b, whose segments come within one bit somewhere and whose check bits are close."""
-    most = int(CHECK_SHARE * CHECK_BITS)
+    upper = (k >> 2 * plan.half) < plan.segments
+    for symbol in range(plan.width // 2):
+        # a ball of radius 1 around the rest: those that are equal without one symbol
+        left_out = k & ~np.int64(SYMBOL << symbol * SYMBOL_BITS)
+        order = np.argsort(left_out, kind="stable")
+        left_out, at = left_out[order], np.arange(len(k))
+        for i, j in _ranges(at + 1, np.searchsorted(left_out, left_out, "right"), at):
+            i, j = order[i], order[j]
+            # equal segments meet in both halves, without any symbol; once is enough
+            ok = (ids[i] != ids[j]) & ((k[i] != k[j]) | upper[i] if symbol == 0 else k[i] != k[j])
+            i, j = i[ok], j[ok]
+            far = np.bitwise_count(c[i, 0] ^ c[j, 0]).astype(np.int16) + np.bitwise_count(c[i, 1] ^ c[j, 1])
+            a, b = ids[i[far <= plan.check]], ids[j[far <= plan.check]]
+            yield pd.DataFrame({"a": np.minimum(a, b), "b": np.maximum(a, b)})
+
+
+def candidates(filed: DataFrame, plan: Plan) -> DataFrame:
+    """Distinct pairs (a, b), a < b, whose segments come within one symbol somewhere and whose check bits are close."""
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         kept: list[tuple] = []
@@ -111,8 +153,8 @@ def candidates(filed: DataFrame) -> DataFrame:
             if not kept:
                 return
             k, ids, c = (np.concatenate(x) for x in zip(*kept))
-            whole = len(k) if last else int(np.searchsorted(k >> HALF, k[-1] >> HALF, "left"))
-            yield from _bucket_pairs(k[:whole], ids[:whole], c[:whole], most)
+            whole = len(k) if last else int(np.searchsorted(k >> plan.half, k[-1] >> plan.half, "left"))
+            yield from _bucket_pairs(k[:whole], ids[:whole], c[:whole], plan)
             kept, size = ([(k[whole:], ids[whole:], c[whole:])] if whole < len(k) else []), 0
 
         for pdf in batches:
@@ -122,14 +164,18 @@ def candidates(filed: DataFrame) -> DataFrame:
                 yield from flush(False)
         yield from flush(True)
 
-    spread = filed.repartition(F.shiftright("k", HALF)).sortWithinPartitions("k")
+    spread = filed.repartition(F.shiftright("k", plan.half)).sortWithinPartitions("k")
     return spread.mapInPandas(run, "a long, b long").distinct()
 
 
 def _distance(x: str, y: str):
-    parts = F.zip_with(f"{x}.segs", f"{y}.segs", lambda p, q: F.bit_count(p.bitwiseXOR(q)))
-    whole = F.aggregate(parts, F.lit(0), lambda s, v: s + v)
-    return whole + F.bit_count(F.col(f"{x}.c1").bitwiseXOR(F.col(f"{y}.c1"))) + F.bit_count(F.col(f"{x}.c2").bitwiseXOR(F.col(f"{y}.c2")))
+    """Symbols that differ."""
+    parts = F.zip_with(f"{x}.segs", f"{y}.segs", lambda p, q: p.bitwiseXOR(q))
+    fold = lambda n: lambda v: v.bitwiseOR(F.shiftrightunsigned(v, n))
+    for n in (4, 2, 1):  # the lowest bit of each symbol becomes whether any of it differs
+        parts = F.transform(parts, fold(n))
+    lowest = F.lit(sum(1 << k * SYMBOL_BITS for k in range(max(WIDTHS))))
+    return F.aggregate(parts, F.lit(0), lambda s, v: s + F.bit_count(v.bitwiseAND(lowest)))
 
 
 def shingle_sets(texts: DataFrame, shingle: int) -> DataFrame:
@@ -146,18 +192,20 @@ class NearDuplicates:
 
     ``docs`` has id and text. Null texts and texts under ``least_words`` words are in no class; ids delivered twice count
     once; an empty table gives empty results. Links are all candidate pairs of the index whose complete fingerprint
-    distance is small and whose shingle sets have at least ``similarity`` in common. Nothing is capped or sampled.
+    distance is small and whose shingle sets have at least ``similarity`` in common; a pair at exactly that similarity is
+    missed with a chance of at most MISS + 2 TAIL, a closer one with less. Nothing is capped or sampled.
     """
 
     def __init__(self, docs: DataFrame, similarity: float = 0.8, shingle: int = 5, least_words: int = 1):
         self.cuts = cuts = Cuts(docs.sparkSession, "near-duplicates")
-        sketched = cuts.cut(fingerprints(docs, shingle, least_words), "fingerprints")
+        plan = Plan.of(similarity)
+        sketched = cuts.cut(fingerprints(docs, shingle, least_words, plan), "fingerprints")
         heads = sketched.groupBy("set_key").agg(F.min("id").alias("rep"))
         self.members = sketched.select("id", "set_key").distinct().join(heads, "set_key").select("id", "rep")
         reps = sketched.join(heads.select(F.col("rep").alias("id")), "id", "left_semi").dropDuplicates(["id"]).drop("set_key")
-        pairs = cuts.cut(candidates(entries(reps)), "candidates")
-        x, y = reps.select(F.col("id").alias("a"), F.struct("segs", "c1", "c2").alias("x")), reps.select(F.col("id").alias("b"), F.struct("segs", "c1", "c2").alias("y"))
-        near = pairs.join(x, "a").join(y, "b").where(_distance("x", "y") <= int(WHOLE_SHARE * (SEGMENTS * WIDTH + CHECK_BITS)))
+        pairs = cuts.cut(candidates(entries(reps, plan), plan), "candidates")
+        x, y = reps.select(F.col("id").alias("a"), F.struct("segs").alias("x")), reps.select(F.col("id").alias("b"), F.struct("segs").alias("y"))
+        near = pairs.join(x, "a").join(y, "b").where(_distance("x", "y") <= plan.whole)
         near = cuts.cut(near.select("a", "b"), "near")
         wanted = near.select(F.explode(F.array("a", "b")).alias("id")).distinct()
         sets = cuts.cut(shingle_sets(docs.select("id", "text").join(wanted, "id", "left_semi").dropDuplicates(["id"]), shingle), "sets")

@@ -63,29 +63,29 @@ def shingle_hashes(ids: np.ndarray, n: int) -> np.ndarray:
     return np.unique(h)
 
 
-def bit_sketch(sets: list[np.ndarray], bits: int, seed: int = 11, block: int = 64) -> np.ndarray:
-    """One-bit min-hash fingerprints, a row of ``bits`` booleans per set: two sets agree in a bit with chance (1 + Jaccard) / 2."""
+def min_sketch(sets: list[np.ndarray], n: int, bits: int, seed: int = 11, block: int = 64) -> np.ndarray:
+    """Min-hash fingerprints, a row of ``n`` symbols of up to 8 ``bits`` per set: two sets agree in a symbol with chance J + (1 - J) / 2^bits at Jaccard J."""
     rng = np.random.default_rng(seed)
-    a = rng.integers(1, 2**32, size=bits, dtype=np.uint32) | np.uint32(1)
-    b = rng.integers(0, 2**32, size=bits, dtype=np.uint32)
-    out = np.zeros((len(sets), bits), dtype=bool)
+    a = rng.integers(1, 2**32, size=n, dtype=np.uint32) | np.uint32(1)
+    b = rng.integers(0, 2**32, size=n, dtype=np.uint32)
+    out = np.zeros((len(sets), n), dtype=np.uint8)
     for lo in range(0, len(sets), block):
         part = sets[lo : lo + block]
         flat = np.concatenate(part)
         x = (flat ^ (flat >> np.uint64(32))).astype(np.uint32)
         starts = np.cumsum([0] + [len(s) for s in part[:-1]])
         y = np.empty_like(x)
-        least = np.empty((bits, len(part)), dtype=np.uint32)
-        for k in range(bits):
+        least = np.empty((n, len(part)), dtype=np.uint32)
+        for k in range(n):
             np.bitwise_xor(x, b[k], out=y)
             np.multiply(y, a[k], out=y)
             np.minimum.reduceat(y, starts, out=least[k])
         least = least ^ (least >> np.uint32(15))
-        out[lo : lo + len(part)] = ((least * np.uint32(0x85EBCA6B)) >> np.uint32(31)).astype(bool).T
+        out[lo : lo + len(part)] = ((least * np.uint32(0x85EBCA6B)) >> np.uint32(32 - bits)).astype(np.uint8).T
     return out
 
 
-def segments(bits: np.ndarray, width: int) -> np.ndarray:
-    """The bits as whole numbers of ``width`` bits each."""
-    n, total = bits.shape
-    return (bits.reshape(n, total // width, width) << np.arange(width)).sum(axis=2).astype(np.int32)
+def segments(symbols: np.ndarray, width: int, bits: int) -> np.ndarray:
+    """The symbols of ``bits`` bits as whole numbers of ``width`` symbols each."""
+    n, total = symbols.shape
+    return (symbols.reshape(n, total // width, width).astype(np.int64) << (np.arange(width) * bits)).sum(axis=2)

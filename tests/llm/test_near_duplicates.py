@@ -42,6 +42,20 @@ def test_links_are_those_of_brute_force(spark):
     assert got <= want and len(got) >= 0.99 * len(want) > 30
 
 
+def test_pairs_close_to_the_similarity(spark):
+    """Pairs at 0.60 to 0.70 that differ by one inserted block."""
+    rng, rows = random.Random(5), []
+    for i in range(600):
+        w, limit = [f"x{rng.randrange(10**6)}" for _ in range(90)], rng.choice([0.6, 0.6, 0.65, 0.7])
+        more, at = int(86 / limit) - 90, rng.randrange(2, 89)  # 86 common runs of 90 + more
+        rows += [(2 * i, " ".join(w)), (2 * i + 1, " ".join(w[:at] + [f"y{rng.randrange(10**6)}" for _ in range(more)] + w[at:]))]
+    v = Vocabulary()
+    sets = {i: set(shingle_hashes(v.ids(words(t)), 3).tolist()) for i, t in rows}
+    want = {(i, i + 1) for i in range(0, len(rows), 2) if len(sets[i] & sets[i + 1]) / len(sets[i] | sets[i + 1]) >= 0.6}
+    got = {(r.a, r.b) for r in NearDuplicates(spark.createDataFrame(rows, "id long, text string"), 0.6, 3, 40).links.collect()}
+    assert len(want) == 600 and got <= want and len(want - got) <= 2
+
+
 def test_copies_nulls_and_short_texts(spark):
     t = texts(2)[0]
     rows = [(1, t), (2, t.upper()), (3, None), (4, ""), (5, "short"), (6, t), (6, t), (None, t), (7, "中" * 50)]
