@@ -116,7 +116,7 @@ def find_cuts(docs: DataFrame) -> DataFrame:
     """(doc_id, source, reason) of the cut texts among docs (doc_id, source, text).
 
     Null, empty and blank texts are no cases; a null source is a source of its own; repeated rows count once; an empty
-    table gives no rows; extra columns are ignored. Counts cover all texts.
+    table gives no rows; extra columns are ignored. Counts cover all different texts.
     """
     cuts = Cuts(docs.sparkSession, "truncation")
     docs = docs.where("doc_id is not null and text is not null").select("doc_id", "source", "text")
@@ -133,7 +133,8 @@ def find_cuts(docs: DataFrame) -> DataFrame:
     kept = ["doc_id", "source", "in_block", "in_code", "in_comment", "mark", "dots", "terminal", "url", "open_end", "word", "closed", "listed", "place", "signed", "few", "line", "line_hash"]
     ends = cuts.cut(ends.join(hit, "doc_id", "left").select(*kept, F.coalesce("at_spike", F.lit(False)).alias("at_spike")), "ends")
     doubtful = ends.where(~F.col("terminal") & (F.col("word") != "")).select("word").distinct()
-    uses = cuts.cut(word_uses(docs.select("text")), "uses")
+    # copies count once, so that the one use taken off below is all that a text's end adds
+    uses = cuts.cut(word_uses(docs.select("text").distinct()), "uses")
     # uses of the word itself and of longer ones that begin with it; pairs of CJK characters have no longer ones
     prefixes = F.when(F.col("word").rlike(f"^[{CJK}]"), F.array("word")).otherwise(F.transform(F.sequence(F.lit(1), F.length("word")), lambda i: F.substr("word", F.lit(1), i)))
     begins = uses.select(F.explode(prefixes).alias("word"), "n", F.col("n_end").alias("e"), F.col("word").alias("full"))

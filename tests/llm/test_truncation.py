@@ -41,6 +41,14 @@ def test_ends(spark):
     assert find_cuts(df.limit(0)).count() == 0
 
 
+def test_copies_of_a_cut_text(spark):
+    """However often a text cut in a word is delivered, it stays cut."""
+    cut = "The parser drops the second pa"
+    rows = corpus(10**6) + [(2000 + i, "b", cut) for i in range(200)]
+    got = {r.doc_id for r in find_cuts(spark.createDataFrame(rows, "doc_id long, source string, text string")).collect()}
+    assert {i for i in got if i >= 2000} == set(range(2000, 2200))
+
+
 def test_long_texts(spark):
     df = spark.createDataFrame([(1, "a", "word " * 60_000 + "end."), (2, "a", " " * 200_000 + "x.")], "doc_id long, source string, text string")
     assert find_cuts(df).count() == 0
