@@ -17,6 +17,8 @@ from loomstead.sources.shared import Cuts
 LEAST_AT_SPIKE, SPIKE_RATIO, WINDOW = 8, 5.0, 20
 #: A word that ends a line or sentence in less than this share of its uses (longer words that begin with it included) ends no text.
 END_SHARE = 0.1
+#: A last line with a dotted end is a phrase if this share of the different texts (LEAST_AT_SPIKE of them at least) ends with it.
+PHRASE_SHARE = 3e-4
 
 # fixed values: characters without which a text is seen as it ends
 INVISIBLE = "\\s\\x{200b}-\\x{200f}\\x{2028}\\x{2029}\\x{2060}\\x{feff}"
@@ -98,7 +100,7 @@ def with_ends(docs: DataFrame) -> DataFrame:
     d = d.withColumn("url", url)
     open_end = line.rlike("[,，、;；(（\\[{/\\\\=+&<|–-]\\z")
     d = d.withColumn("open_end", open_end & ~line.rlike("^([-=_*~#>])\\1*\\z"))
-    d = d.withColumn("line_hash", F.xxhash64("line"))
+    d = d.withColumn("line_hash", F.xxhash64("line")).withColumn("core_hash", F.xxhash64("core"))
     word = F.lower(F.regexp_extract(F.regexp_replace("line", "[^\\p{L}\\p{M}\\p{N}_]+\\z", ""), f"(?:([{CJK}]{{1,2}})|([\\p{{L}}\\p{{M}}\\p{{N}}_&&[^{CJK}]]+))\\z", 0))
     d = d.withColumn("word", word)
     d = d.withColumn("closed", F.col("line").rlike("[)\\]}\"'’”»`*]\\z"))
@@ -130,7 +132,7 @@ def find_cuts(docs: DataFrame) -> DataFrame:
     )
     sized = docs.select("doc_id", F.coalesce("source", F.lit("")).alias("s"), F.col("source").isNull().alias("no_source"), F.explode(sizes).alias("x")).select("doc_id", "s", "no_source", "x.unit", "x.length")
     hit = join_unique(sized, spikes, ["s", "no_source", "unit", "length"], "inner").select("doc_id").distinct().withColumn("at_spike", F.lit(True))
-    kept = ["doc_id", "source", "in_block", "in_code", "in_comment", "mark", "dots", "terminal", "url", "open_end", "word", "closed", "listed", "place", "signed", "few", "line", "line_hash"]
+    kept = ["doc_id", "source", "in_block", "in_code", "in_comment", "mark", "dots", "terminal", "url", "open_end", "word", "closed", "listed", "place", "signed", "few", "line", "line_hash", "core_hash"]
     ends = cuts.cut(ends.join(hit, "doc_id", "left").select(*kept, F.coalesce("at_spike", F.lit(False)).alias("at_spike")), "ends")
     doubtful = ends.where(~F.col("terminal") & (F.col("word") != "")).select("word").distinct()
     # copies count once, so that the one use taken off below is all that a text's end adds
@@ -139,8 +141,10 @@ def find_cuts(docs: DataFrame) -> DataFrame:
     prefixes = F.when(F.col("word").rlike(f"^[{CJK}]"), F.array("word")).otherwise(F.transform(F.sequence(F.lit(1), F.length("word")), lambda i: F.substr("word", F.lit(1), i)))
     begins = uses.select(F.explode(prefixes).alias("word"), "n", F.col("n_end").alias("e"), F.col("word").alias("full"))
     begins = begins.join(doubtful, "word", "left_semi").groupBy("word").agg(F.sum("n").alias("n"), F.sum(F.when(F.col("full") == F.col("word"), F.col("e")).otherwise(0)).alias("n_end"), F.sum(F.when(F.col("full") == F.col("word"), F.col("n")).otherwise(0)).alias("n_word"))
-    # a line of several words and a dotted end that many texts share is a phrase, not a cut
-    phrases = ends.where(F.col("dots") & (F.size(F.split("line", " +")) >= 3)).groupBy("line_hash").agg(F.count(F.lit(1)).alias("same_line")).where(F.col("same_line") >= LEAST_AT_SPIKE)
+    # a line of several words and a dotted end that many different texts share is a phrase, not a cut
+    lines = ends.where(F.col("dots") & (F.size(F.split("line", " +")) >= 3)).groupBy("line_hash").agg(F.count_distinct("core_hash").alias("same_line"))
+    least = ends.agg(F.greatest(F.lit(LEAST_AT_SPIKE), F.lit(PHRASE_SHARE) * F.count_distinct("core_hash")).alias("least"))
+    phrases = lines.crossJoin(F.broadcast(least)).where(F.col("same_line") >= F.col("least")).drop("least")
     d = ends.join(begins, "word", "left").join(phrases, "line_hash", "left")
     n, n_end = F.coalesce("n", F.lit(0)) - 1, F.coalesce("n_end", F.lit(0)) - 1  # without this use
     rare = (n <= 0) | (n_end < F.lit(END_SHARE) * n)

@@ -49,6 +49,18 @@ def test_copies_of_a_cut_text(spark):
     assert {i for i in got if i >= 2000} == set(range(2000, 2200))
 
 
+def test_lines_with_dots(spark):
+    """Copies of a cut text, or a few texts in many with the same cut line, are no phrase; a line that many texts share is."""
+    line = "The parser drops the sec…"
+    rows = [(10**6 + i, "a", f"It is.\n\n{line}") for i in range(9)] + [(2 * 10**6 + i, "a", f"{'So ' * i}it was.\n\n{line}") for i in range(9)]
+    rows += [(3 * 10**6 + i, "a", f"{'So ' * i}it is odd.\n\nno idea why...") for i in range(30)]
+    schema = "doc_id long, source string, text string"
+    many = spark.range(40_000).selectExpr("id as doc_id", "'a' as source", "concat('Case ', id, if(id % 50 = 0, repeat(' or second pass', 20), ''), '.') as text")
+    few = spark.createDataFrame(rows[:9] + rows[18:], schema).unionByName(many.limit(100))
+    assert {r.doc_id // 10**6 for r in find_cuts(few).collect()} == {1} and find_cuts(few).count() == 9
+    assert {r.doc_id for r in find_cuts(spark.createDataFrame(rows, schema).unionByName(many)).collect()} == {r[0] for r in rows[:18]}
+
+
 def test_long_texts(spark):
     df = spark.createDataFrame([(1, "a", "word " * 60_000 + "end."), (2, "a", " " * 200_000 + "x.")], "doc_id long, source string, text string")
     assert find_cuts(df).count() == 0
