@@ -27,8 +27,14 @@ def p3_found(spark: SparkSession, d: str) -> DataFrame:
 
 
 def p3_groups(spark: SparkSession, d: str) -> DataFrame:
-    """One row per corpus row with a text: class of equal texts, links to other classes, group; five words and 0.8."""
-    return NearDuplicates(_rows(spark, d)).groups()
+    """One row per corpus row: class of equal texts, links to other classes, group; five words and 0.8.
+
+    Rows whose text is null or has no word are a class and a group of their own, without links.
+    """
+    rows = _rows(spark, d)
+    groups = NearDuplicates(rows).groups()
+    out = rows.where("id is not null").select("id").distinct().join(groups, "id", "left")
+    return out.select("id", F.coalesce("class_id", "id").alias("class_id"), F.coalesce("n_links", F.lit(0)).alias("n_links"), F.coalesce("group_id", "id").alias("group_id"))
 
 
 QUERIES = {"p3_found": p3_found, "p3_groups": p3_groups}

@@ -4,7 +4,7 @@ import random
 from pyspark.sql import functions as F
 
 from loomstead.llm.near_duplicates import NearDuplicates
-from loomstead.llm.problem3 import p3_found
+from loomstead.llm.problem3 import p3_found, p3_groups
 from loomstead.llm.sketches import Vocabulary, shingle_hashes, words
 from tests.conftest import DATA
 
@@ -66,6 +66,13 @@ def test_copies_nulls_and_short_texts(spark):
     assert empty.links.count() == empty.groups().count() == 0
 
 
+def test_groups_have_every_row(spark, tmp_path):
+    rows = [(1, "one two three"), (2, "One two, three!"), (3, None), (4, ""), (5, "🦀 ..."), (5, "🦀 ..."), (None, "x")]
+    spark.createDataFrame(rows, "id long, target_text string").write.parquet(str(tmp_path / "corpus.parquet"))
+    got = sorted(tuple(r) for r in p3_groups(spark, str(tmp_path)).collect())
+    assert got == [(1, 1, 0, 1), (2, 1, 0, 1), (3, 3, 0, 3), (4, 4, 0, 4), (5, 5, 0, 5)]
+
+
 def test_words():
     assert words("Foo_bar-1 中文の Ünï") == ["foo", "bar", "1", "中", "文", "の", "ünï"] and words(None) == []
 
