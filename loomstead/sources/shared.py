@@ -11,9 +11,14 @@ SETTING = "spark.checkpoint.dir"
 
 
 def shared_folder(spark: SparkSession) -> str:
-    """The session's ``spark.checkpoint.dir``; where it is unset, as in tests, a folder of our own is set."""
+    """The session's ``spark.checkpoint.dir``; where it is unset and all runs in this process, as in tests, a folder of our own.
+
+    On a cluster each machine would have another such folder, so there it is an error to leave it unset.
+    """
     folder = spark.conf.get(SETTING, None)
     if not folder:
+        if not spark.sparkContext.master.startswith("local"):
+            raise ValueError(f"{SETTING} must name a folder that all executors share")
         folder = "file://" + tempfile.mkdtemp(prefix="loomstead-")
         spark.conf.set(SETTING, folder)
     return folder.rstrip("/")
