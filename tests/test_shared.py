@@ -30,22 +30,18 @@ def test_cuts_are_written_and_dropped(spark):
 
 
 def test_a_broken_subpackage_is_an_error(monkeypatch):
-    import builtins
+    import importlib
 
     import __spark_entry__ as entry
 
-    real = builtins.__import__
-
     def broken(missing):
-        def imp(name, globals=None, locals=None, fromlist=(), level=0):
-            if name == "loomstead.llm" and fromlist:
-                raise ModuleNotFoundError(f"No module named {missing!r}", name=missing)
-            return real(name, globals, locals, fromlist, level)
+        def load(name):
+            raise ModuleNotFoundError(f"No module named {missing!r}", name=missing)
 
-        return imp
+        return load
 
-    monkeypatch.setattr(builtins, "__import__", broken("loomstead.llm"))
+    monkeypatch.setattr(importlib, "import_module", broken("loomstead.llm"))
     assert "corpus_build" in entry.queries() and not any(n.startswith("p1_") for n in entry.queries())
-    monkeypatch.setattr(builtins, "__import__", broken("numpy_of_another_world"))
+    monkeypatch.setattr(importlib, "import_module", broken("numpy_of_another_world"))
     with pytest.raises(ModuleNotFoundError):
         entry.queries()
