@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from loomstead.llm.truncation import cut_report, find_cuts, length_spikes
 from loomstead.sources.tables import table
@@ -18,9 +19,14 @@ def p8_report(spark: SparkSession, d: str) -> DataFrame:
 
 
 def p8_limits(spark: SparkSession, d: str) -> DataFrame:
-    """The spikes of the length histograms."""
+    """The limits that the length histograms show."""
     return length_spikes(table(spark, d, "documents"))
 
 
-QUERIES = {"p8_found": p8_found, "p8_report": p8_report, "p8_limits": p8_limits}
+def p8_reasons(spark: SparkSession, d: str) -> DataFrame:
+    """How many texts were cut at a limit of their source, and how many show it by their end alone."""
+    return find_cuts(table(spark, d, "documents")).groupBy("source", "reason").agg(F.count(F.lit(1)).alias("n_cut"))
+
+
+QUERIES = {"p8_found": p8_found, "p8_report": p8_report, "p8_limits": p8_limits, "p8_reasons": p8_reasons}
 SQL: dict[str, str] = {}

@@ -3,7 +3,8 @@ import random
 from pyspark.sql import functions as F
 
 from loomstead.llm.problem8 import p8_found, p8_report
-from loomstead.llm.truncation import cut_report, find_cuts, length_spikes
+from loomstead.llm.truncation import cut_report, find_cuts, length_spikes, uses_beginning_with
+from loomstead.sources.shared import Cuts
 from tests.conftest import DATA
 
 SENTENCES = ["The parser drops the second pass in release mode.", "Nobody expects the cache to leak on two laptops.", "We should move the field order out of the loop.", "Der Compiler verwirft die zweite Anfrage ohne Meldung."]
@@ -70,3 +71,39 @@ def test_the_tables(spark):
     got = p8_found(spark, DATA).collect()
     assert got and len(set(got)) == len(got)
     assert sum(r.n_cut for r in p8_report(spark, DATA).collect()) == len(got)
+
+
+def test_one_very_long_word(spark):
+    """Words of a million letters, cut and whole, cost no more than their length."""
+    word = "ab" * 500_000
+    rows = corpus(10**6)[:40] + [(9000, "a", f"It keeps {word}"), (9001, "a", f"It keeps {word}c on."), (9002, "a", f"We saw {word} too."), (9003, "a", "x " + "QUJD" * 250_000 + " works.")]
+    got = {r.doc_id for r in find_cuts(spark.createDataFrame(rows, "doc_id long, source string, text string")).collect()}
+    assert got == {9000}
+
+
+def test_uses_against_brute_force(spark):
+    rng = random.Random(2)
+    every = ["".join(rng.choice("abé") for _ in range(rng.randrange(1, 6))) for _ in range(400)] + ["错", "错误", "错误们"]
+    uses = {w: (rng.randrange(1, 9), rng.randrange(0, 2)) for w in every}
+    wanted = sorted({w[: rng.randrange(1, 4)] for w in every} | {"zz", "错"})
+    u = spark.createDataFrame([(w, n, e) for w, (n, e) in uses.items()], "word string, n long, n_end long")
+    got = {r.word: (r.n, r.n_word, r.n_end) for r in uses_beginning_with(u, spark.createDataFrame([(w,) for w in wanted], "word string"), Cuts(spark, "t")).collect()}
+    for w in wanted:
+        alike = [w] if w[0] == "错" else [x for x in uses if x.startswith(w)]
+        own = uses.get(w, (0, 0))
+        assert got[w] == (sum(uses.get(x, (0, 0))[0] for x in alike), *own), w
+
+
+def test_a_limit_that_was_changed(spark):
+    """A spike below longer texts of the same months is no limit; a limit of former months is one."""
+    rng = random.Random(6)
+    rows = []
+    for i in range(1200):
+        size, month = rng.randrange(30, 400), 1 + i % 12
+        limit = 150 if month < 7 else 250
+        text = (f"Case {i} is " + "odd and so on " * 40)[: min(size, limit)]
+        rows.append((i, "a", text, f"2024-{month:02d}-10 00:00:00"))
+    rows += [(2000 + i, "a", f"Row {i:04d} of the table, which is always as wide as this.", f"2024-{1 + i % 12:02d}-11 00:00:00") for i in range(100)]
+    df = spark.createDataFrame(rows, "doc_id long, source string, text string, t string").withColumn("created_at", F.col("t").cast("timestamp"))
+    assert {r.length for r in length_spikes(df).collect()} == {150, 250}
+    assert {r.length for r in length_spikes(df.drop("created_at")).collect()} == {250}
