@@ -1,5 +1,5 @@
 """The language of each text and of each passage: cleaned labels, character models trained on a bounded labelled sample,
-the lowest cross-entropy per character, and rejection calibrated on held-out sentences."""
+the lowest cross-entropy per character, and rejection calibrated on held-out sentences, of the languages and of languages left out."""
 
 from __future__ import annotations
 
@@ -15,10 +15,12 @@ from loomstead.llm.charlm import CharModels, plain
 
 #: Labelled rows per language that the models are fitted on; the least to fit a language at all.
 TRAIN_ROWS, LEAST_ROWS = 400, 5
+#: Labels, those with the most rows, that may become models; ISO 639-1 has 184 codes.
+MOST_LABELS = 250
 #: Odds (natural logarithm, after calibration) and letters of a sentence that shows a further language; letters of a row.
 SURE, LEAST_SENTENCE, LEAST_LETTERS = 6.0, 12, 15
-#: Standard deviations above the mean cross-entropy of held-out sentences at which a sentence is of none of the languages.
-REJECT = 6.0
+#: Share of sentences expected to be of none of the languages; the limit of rejection makes the fewest errors at that share.
+FOREIGN = 0.01
 
 # fixed values: spellings of the languages (ISO 639-1, 639-2 and 639-3 codes, names)
 NAMES = {
@@ -97,7 +99,7 @@ def sentences(text: str | None, titled: bool) -> list[tuple[str, str, bool | Non
 
 
 def joint_votes(labelled: list[tuple[str, list[str]]], names: list[str]) -> list[list[bool]]:
-    """Whether each sentence's runs of three characters are most at home in its own label, by their share of all its runs.
+    """Whether each sentence's runs of three characters are most at home in its own label, by their share of all its other runs.
 
     Unlike the conditional models, these shares aren't fooled by a few rows of another language under a wrong label.
     """
@@ -111,47 +113,86 @@ def joint_votes(labelled: list[tuple[str, list[str]]], names: list[str]) -> list
     for (l, _), c in zip(labelled, coded):
         for x in c:
             np.add.at(count[:, names.index(l)], np.searchsorted(keys, x), 1)
-    share = np.log(count / count.sum(axis=0))
-    return [[names[int(share[np.searchsorted(keys, x)].sum(axis=0).argmax())] == l for x in c] for (l, _), c in zip(labelled, coded)]
+    total = count.sum(axis=0)
+    share = np.log(count / total)
+
+    def own(x: np.ndarray, k: int) -> bool:
+        at, n = np.unique(np.searchsorted(keys, x), return_counts=True)
+        scores = n @ share[at]
+        scores[k] = n @ np.log((count[at, k] - n) / max(total[k] - len(x), 1.0))  # without itself
+        return int(scores.argmax()) == k
+
+    return [[own(x, names.index(l)) for x in c] for (l, _), c in zip(labelled, coded)]
 
 
 class Identifier:
-    """Models, the temperature of the odds, and the highest cross-entropy per character accepted for each language."""
+    """Models, the temperature of the odds, and the limit of cross-entropy up to which a sentence is of one of the languages.
+
+    All are fitted on labelled sentences. A label is a language if most of its sentences are at home in it, so labels
+    that only stand on texts of other languages get no model.
+    """
 
     def __init__(self, labelled: list[tuple[str, list[str]]]):
         names = sorted({l for l, _ in labelled})
         votes = joint_votes(labelled, names)  # some labels are wrong, and some texts mixed
-        kept = [(l, [s for s, ok in zip(ss, v) if ok]) for (l, ss), v in zip(labelled, votes)]
-        left = {l for l, ss in kept if ss}
-        kept = [(l, ss if l in left else whole) for (l, ss), (_, whole) in zip(kept, labelled)]
+        told = {l: [0, 0] for l in names}
+        for (l, ss), v in zip(labelled, votes):
+            told[l][0] += sum(v)
+            told[l][1] += len(v)
+        names = [l for l in names if 2 * told[l][0] > told[l][1]] or names
+        kept = [(l, [s for s, ok in zip(ss, v) if ok]) for (l, ss), v in zip(labelled, votes) if l in names]
         seen: dict[str, int] = {}
         train: dict[str, list[str]] = {l: [] for l in names}
         held = []
         for l, ss in kept:
-            seen[l] = seen.get(l, 0) + 1
+            seen[l] = seen.get(l, 0) + bool(ss)
             if seen[l] % 5 == 0:
                 held += [(l, s) for s in ss]
             else:
                 train[l] += ss
-        self.models = CharModels(train)
+        names = [l for l in names if train[l]]
+        self.models = CharModels({l: train[l] for l in names})
         self.languages = self.models.languages
-        self.temperature, self.mean, self.spread = 1.0, np.full(len(names), np.inf), np.zeros(len(names))
+        self.temperature, self.limit, self.held_accuracy, self.held_rejected, self.foreign_accepted = 1.0, np.inf, 0.0, 0.0, 1.0
+        self.mean, self.spread = np.full(len(names), np.inf), np.zeros(len(names))
+        held = [x for x in held if x[0] in names]
         if held:
-            total, size = self.models.scores([s for _, s in held])
-            best = total.argmax(axis=1)
-            truth = np.array([names.index(l) for l, _ in held])
-            grid = (0.05, 0.1, 0.2, 0.3, 0.5, 0.7, 1.0)
-            loss = []
-            for t in grid:
-                z = t * (total - total.max(axis=1, keepdims=True))
-                loss.append(float((np.log(np.exp(z).sum(axis=1)) - z[np.arange(len(z)), truth]).mean()))
-            self.temperature = grid[int(np.argmin(loss))]
-            self.held_accuracy = float((best == truth).mean())
-            entropy = -total.max(axis=1) / size
-            for k in range(len(names)):
-                own = entropy[(best == k) & (truth == k)]
-                if len(own) >= 20:
-                    self.mean[k], self.spread[k] = own.mean(), own.std()
+            self._calibrate([names.index(l) for l, _ in held], [s for _, s in held])
+
+    def _calibrate(self, truth: list[int], sentences: list[str]) -> None:
+        total, size = self.models.scores(sentences)
+        truth, rows = np.array(truth), np.arange(len(sentences))
+        best = total.argmax(axis=1)
+        grid = (0.05, 0.1, 0.2, 0.3, 0.5, 0.7, 1.0)
+        loss = []
+        for t in grid:
+            z = t * (total - total.max(axis=1, keepdims=True))
+            loss.append(float((np.log(np.exp(z).sum(axis=1)) - z[rows, truth]).mean()))
+        self.temperature = grid[int(np.argmin(loss))]
+        self.held_accuracy = float((best == truth).mean())
+        entropy = -total / size[:, None]
+        for k in range(total.shape[1]):
+            own = entropy[(best == k) & (truth == k), k]
+            if len(own) >= 20:
+                self.mean[k], self.spread[k] = own.mean(), own.std()
+        # a sentence whose own language is left out stands for one of a language without a model
+        without = total.copy()
+        without[rows, truth] = -np.inf
+        other = without.argmax(axis=1)
+        own = self._excess(entropy[rows, best], best, size)
+        foreign = self._excess(entropy[rows, other], other, size) if total.shape[1] > 1 else np.empty(0)
+        own, foreign = np.sort(own[np.isfinite(own)]), np.sort(foreign[np.isfinite(foreign)])
+        if len(own) and len(foreign):
+            limits = np.append(own, own[-1] + 1.0)  # the last limit rejects none of them
+            rejected = 1 - np.searchsorted(own, limits, "right") / len(own)
+            accepted = np.searchsorted(foreign, limits, "right") / len(foreign)
+            k = int(np.argmin((1 - FOREIGN) * rejected + FOREIGN * accepted))
+            self.limit, self.held_rejected, self.foreign_accepted = float(limits[k]), float(rejected[k]), float(accepted[k])
+
+    def _excess(self, entropy: np.ndarray, language: np.ndarray, size: np.ndarray) -> np.ndarray:
+        """Standard deviations above the mean cross-entropy of the language; short sentences vary more."""
+        spread = self.spread[language] * np.sqrt(np.maximum(1.0, 50 / size))
+        return np.where(spread > 0, (entropy - np.where(spread > 0, self.mean[language], 0.0)) / np.where(spread > 0, spread, 1.0), -np.inf)
 
     def classify(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """Per plain sentence the language's number (-1: none of them), its log odds and its confidence."""
@@ -165,18 +206,18 @@ class Identifier:
         odds = (top - rest.max(axis=1)) if total.shape[1] > 1 else np.full(len(top), 99.0)
         z = self.temperature * (total - top[:, None])
         confidence = 1 / np.exp(z).sum(axis=1)
-        # short sentences vary more
-        reject = -top / size > self.mean[best] + REJECT * self.spread[best] * np.sqrt(np.maximum(1.0, 50 / size))
+        reject = self._excess(-top / size, best, size) > self.limit
         return np.where(reject, -1, best), self.temperature * odds, confidence
 
 
 def fit(rows: DataFrame, train_rows: int = TRAIN_ROWS) -> Identifier | None:
     """Fit on at most ``train_rows`` labelled rows per language of rows (id, text, label, titled): those of the lowest hashes.
 
-    None if no language has LEAST_ROWS labelled rows.
+    All labels with LEAST_ROWS rows take part, also of languages that NAMES doesn't list. None if there is no such label.
     """
-    known = rows.where(F.col("label").isin(*NAMES) & F.col("text").isNotNull()).withColumn("h", F.xxhash64("id", F.lit("train")))
-    counts = {r["label"]: r["n"] for r in known.groupBy("label").agg(F.count(F.lit(1)).alias("n")).collect()}
+    known = rows.where(F.col("label").isNotNull() & F.col("text").isNotNull()).withColumn("h", F.xxhash64("id", F.lit("train")))
+    per_label = known.groupBy("label").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") >= LEAST_ROWS)
+    counts = {r["label"]: r["n"] for r in per_label.orderBy(F.desc("n"), "label").limit(MOST_LABELS).collect()}
     below = F.lit(False)
     for label, n in counts.items():
         share = min(1.0, 1.5 * train_rows / n)
@@ -272,7 +313,11 @@ def row_languages(rows: DataFrame, identifier: Identifier) -> DataFrame:
 
 
 def found(languages: DataFrame) -> DataFrame:
-    """(id, language) of the rows whose label is missing, wrong or covers only part: see the docstring of ``cases``."""
+    """(id, language) of the rows whose label is missing, names another language than the main one, or covers only part.
+
+    A row shows the languages of its whole sentences, or its main one without any. Rows with fewer than LEAST_LETTERS
+    letters, without prose, or with the right label for all of it are left out.
+    """
     per = languages.groupBy("id").agg(
         F.first("label").alias("label"),
         F.max("n_letters").alias("n_letters"),

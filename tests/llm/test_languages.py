@@ -16,7 +16,7 @@ def test_models_are_distributions_and_tell_languages():
             total, _ = m.scores([context + c])
             logs.append(total[0])
         before = m.scores([context])[0][0]
-        assert np.allclose(np.exp(np.array(logs) - before).sum(axis=0), 1, atol=0.08)
+        assert np.allclose(np.exp(np.array(logs) - before).sum(axis=0), 1, atol=1e-5)
     assert m.scores([plain("abab"), plain("zyx")])[0].argmax(axis=1).tolist() == [0, 1]
 
 
@@ -47,6 +47,36 @@ def test_held_out_accuracy_and_cases(spark):
     assert L.fit(df.limit(0)) is None
 
 
+def test_scores_are_a_sentences_own():
+    """Equal alone, in a batch, in another order and in blocks."""
+    rng = np.random.default_rng(1)
+    vocabulary = {"en": "the parser drops a second pass in release mode nobody expects it".split(), "de": "der compiler verwirft die zweite anfrage ohne meldung niemand weiß warum".split()}
+    make = lambda l: plain(" ".join(rng.choice(vocabulary[l], rng.integers(1, 12))))
+    m = CharModels({l: [make(l) for _ in range(60)] for l in vocabulary})
+    texts = [make(l) for l in vocabulary for _ in range(1500)] + [plain("x"), plain("")]
+    whole, sizes = m.scores(texts)
+    assert sizes.sum() > 60_000  # more than one block
+    alone = np.concatenate([m.scores([t])[0] for t in texts])
+    order = rng.permutation(len(texts))
+    assert np.array_equal(whole, alone) and np.array_equal(m.scores([texts[i] for i in order])[0], whole[order])
+
+
+def test_rejection_and_labels_of_any_language():
+    import random
+
+    rng = random.Random(3)
+    words = {"en": "the parser drops second pass release mode nobody expects this cache".split(), "de": "der compiler verwirft zweite anfrage ohne meldung niemand weiß warum".split(), "nl": "de vertaler weigert tweede aanvraag zonder bericht niemand begrijpt waarom".split(), "el": "ο μεταγλωττιστής απορρίπτει δεύτερη κλήση χωρίς μήνυμα κανείς ξέρει γιατί".split()}
+    make = lambda l: plain(" ".join(rng.choice(words[l]) for _ in range(rng.randrange(6, 14))))
+    rows = [(l, [make(l) for _ in range(3)]) for l in ("en", "de", "nl") for _ in range(120)]
+    rows += [("xx", [make(rng.choice(["en", "de"])) for _ in range(3)]) for _ in range(40)]  # a label that names nothing of its own
+    rng.shuffle(rows)
+    m = L.Identifier(rows)
+    assert m.languages == ["de", "en", "nl"] and m.held_accuracy > 0.98
+    assert m.held_rejected < 0.01 and np.isfinite(m.limit)
+    assert (m.classify([make("el") for _ in range(50)])[0] == -1).mean() > 0.9
+    assert (m.classify([make("nl") for _ in range(50)])[0] == 2).mean() > 0.95
+
+
 def test_very_long_text():
     assert len(L.sentences("word " * 50_000 + ".", False)) == 1
 
