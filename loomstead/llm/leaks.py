@@ -1,4 +1,9 @@
-"""Held-out passages in training documents: suffix arrays over shards of the documents, searched for every test suffix."""
+"""Held-out passages in training documents: suffix arrays over shards of the documents, searched for every test suffix.
+
+A shard's suffix array holds the suffixes of all its words, whole and in order up to the end of their document. A test
+suffix narrows the range of suffixes that begin like it, word by word and by binary search, until none is left; what drops
+out at a word matches up to there. Matches that could begin a word earlier are left out, so what remains are the longest.
+"""
 
 from __future__ import annotations
 
@@ -12,89 +17,126 @@ from pyspark.sql import functions as F
 from loomstead.functions.text import clean_value
 from loomstead.llm.sketches import runs
 
-#: Words of test items searched in one pass; more items make more passes over the documents, none is left out.
-BLOCK_WORDS = 500_000
-#: Words of documents in one suffix array.
+#: Words of test items searched in one pass (about 20 MB on each worker); more items make more passes over the documents, none is left out.
+BLOCK_WORDS = 4_000_000
+#: Words of documents in one suffix array; a longer document is an array of its own.
 SHARD_WORDS = 400_000
+#: Locations looked at together.
+STEP = 1 << 20
+MATCHES = "doc_id long, item_id long, n_words long, at_word long"
+
+
+class Items:
+    """Test items as one row of word numbers with an end after each item, -1."""
+
+    def __init__(self, items: list[tuple[int, list[str]]]):
+        numbers: dict[str, int] = {}
+        flat = [x for _, w in items for x in (*(numbers.setdefault(y, len(numbers)) for y in w), -1)]
+        self.words, self.tokens = list(numbers), np.array(flat, dtype=np.int32)
+        self.ids = np.array([i for i, _ in items], dtype=np.int64)
+        sizes = np.array([len(w) for _, w in items], dtype=np.int64)
+        self.ends = np.cumsum(sizes + 1) - 1
 
+    def suffixes(self, least: int) -> tuple[np.ndarray, np.ndarray]:
+        """(start, number of the item) of the suffixes of ``least`` words or more."""
+        at = np.arange(len(self.tokens))
+        item = np.searchsorted(self.ends, at)
+        long = self.ends[item] - at >= least
+        return at[long], item[long]
 
-class ItemSuffixes:
-    """The suffixes of at least ``least`` words of test items, as sequences of word numbers (from 1)."""
-
-    def __init__(self, items: list[tuple[int, list[str]]], least: int):
-        self.least, self.numbers = least, {}
-        item, start, tokens = [], [], []
-        for item_id, w in items:
-            base = len(tokens)
-            tokens += [self.numbers.setdefault(x, len(self.numbers) + 1) for x in w] + [0]
-            n = max(0, len(w) - least + 1)
-            item += [item_id] * n
-            start += range(base, base + n)
-        self.item, self.start = np.array(item, dtype=np.int64), np.array(start, dtype=np.int64)
-        self.keys = suffix_keys(np.array(tokens + [0] * least, dtype=np.int64), self.start, least)
-
-
-def suffix_keys(tokens: np.ndarray, at: np.ndarray, depth: int) -> np.ndarray:
-    """The first ``depth`` words of the suffixes at ``at`` as byte strings that sort like the sequences."""
-    rows = tokens[at[:, None] + np.arange(depth)].astype(">i4")
-    return np.ascontiguousarray(rows).view(f"S{4 * depth}").ravel()
-
-
-def suffix_array(tokens: np.ndarray, depth: int) -> tuple[np.ndarray, np.ndarray]:
-    """Positions of the suffixes in sorted order and their keys. Word 0 is in no test item, so no suffix with a 0 within
-    its first ``depth`` words can match and none is kept."""
-    stop = np.flatnonzero(tokens == 0)
-    where = np.arange(len(tokens))
-    nxt = np.append(stop, len(tokens))[np.searchsorted(stop, where)]
-    at = np.flatnonzero(nxt - where >= depth)
-    keys = suffix_keys(tokens, at, depth)
-    order = np.argsort(keys, kind="stable")
-    return at[order], keys[order]
-
-
-def search(shard: list[tuple[int, list[str]]], tests: ItemSuffixes) -> pd.DataFrame:
-    """Longest verbatim match of each (doc_id, item_id) with at least ``least`` words, and the word of the document it starts at."""
-    empty = pd.DataFrame({"doc_id": [], "item_id": [], "n_words": [], "at_word": []}).astype("int64")
-    number = tests.numbers.get
-    tokens, starts = [], []
-    for _, w in shard:
-        starts.append(len(tokens))
-        tokens += [number(x, 0) for x in w]
-        tokens.append(0)
-    tokens, starts = np.array(tokens, dtype=np.int64), np.array(starts, dtype=np.int64)
-    at, keys = suffix_array(tokens, tests.least)
-    if not len(at) or not len(tests.keys):
-        return empty
-    left, right = np.searchsorted(keys, tests.keys, "left"), np.searchsorted(keys, tests.keys, "right")
-    n = right - left
-    hit = np.repeat(np.arange(len(n)), n)
-    pos = at[np.repeat(left, n) + np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n)]
-    if not len(pos):
-        return empty
-    doc = np.searchsorted(starts, pos, "right") - 1
-    found = pd.DataFrame({"doc": doc, "item_id": tests.item[hit], "diagonal": pos - tests.start[hit], "pos": pos}).sort_values(["doc", "item_id", "diagonal", "pos"])
-    # neighbours on one diagonal are parts of one longer match
-    new = (found[["doc", "item_id", "diagonal"]].diff().ne(0).any(axis=1) | found["pos"].diff().ne(1)).cumsum()
-    spans = found.groupby(new).agg(doc=("doc", "first"), item_id=("item_id", "first"), pos=("pos", "first"), n=("pos", "size"))
-    spans["n_words"] = spans["n"] + tests.least - 1
-    best = spans.sort_values(["n_words", "pos"], ascending=[False, True]).drop_duplicates(["doc", "item_id"])
-    ids = np.array([i for i, _ in shard], dtype=np.int64)
-    d = best["doc"].to_numpy()
-    return pd.DataFrame({"doc_id": ids[d], "item_id": best["item_id"].to_numpy(), "n_words": best["n_words"].to_numpy(), "at_word": best["pos"].to_numpy() - starts[d]})
-
-
-def item_blocks(items: DataFrame, least: int) -> Iterator[ItemSuffixes]:
+
+def suffix_array(tokens: np.ndarray) -> np.ndarray:
+    """Positions in the order of their suffixes, by prefix doubling; only what is still alike is sorted again.
+
+    Each document must end in a number of its own, below those of all words, so no comparison runs past it.
+    """
+    n = len(tokens)
+    order = np.argsort(tokens, kind="stable")
+    key, at, rank, width = tokens[order].astype(np.int64), np.arange(n), np.empty(n, dtype=np.int64), 1
+    while len(at):
+        # places whose key differs from the one before begin a group, and a group's first place is its rank
+        new = np.append(True, key[1:] != key[:-1])
+        rank[order[at]] = at[np.maximum.accumulate(np.where(new, np.arange(len(at)), 0))]
+        alone = new & np.append(new[1:], True)
+        at = at[~alone]
+        key = rank[order[at]] * n + rank[np.minimum(order[at] + width, n - 1)]
+        again = np.argsort(key, kind="stable")
+        order[at], key = order[at][again], key[again]
+        width *= 2
+    return order
+
+
+class Shard:
+    """The suffix array of some documents (doc_id, words)."""
+
+    def __init__(self, docs: list[tuple[int, list[str]]]):
+        self.ids = np.array([i for i, _ in docs], dtype=np.int64)
+        self.numbers: dict[str, int] = {}
+        add, base = self.numbers.setdefault, len(docs)
+        flat = [x for k, (_, w) in enumerate(docs) for x in (*[add(y, base + len(self.numbers)) for y in w], k)]
+        self.tokens = np.array(flat, dtype=np.int32)
+        self.starts = np.cumsum([0] + [len(w) + 1 for _, w in docs[:-1]])
+        self.array = suffix_array(self.tokens)
+
+    def _bound(self, lo: np.ndarray, hi: np.ndarray, word: np.ndarray, depth: int, after: bool) -> np.ndarray:
+        """First place of each range whose suffix has at ``depth`` a word not before ``word`` (after it, with ``after``)."""
+        lo, hi = lo.copy(), hi.copy()
+        open_ = np.flatnonzero(lo < hi)
+        while len(open_):
+            mid = (lo[open_] + hi[open_]) >> 1
+            there = self.tokens[self.array[mid] + depth]
+            before = there <= word[open_] if after else there < word[open_]
+            lo[open_[before]], hi[open_[~before]] = mid[before] + 1, mid[~before]
+            open_ = open_[lo[open_] < hi[open_]]
+        return lo
+
+    def search(self, items: Items, least: int) -> pd.DataFrame:
+        """The longest verbatim match of each document and item with at least ``least`` words, and the word it starts at."""
+        own = np.array([self.numbers.get(w, -1) for w in items.words] + [-1], dtype=np.int64)
+        test = own[items.tokens]  # the end of an item, -1, is in no document, as an unknown word
+        start, item = items.suffixes(least)
+        lo, hi = np.zeros(len(start), dtype=np.int64), np.full(len(start), len(self.array))
+        found, depth = [], 0
+        while len(start):
+            word = test[start + depth]
+            left, right = self._bound(lo, hi, word, depth, False), self._bound(lo, hi, word, depth, True)
+            if depth >= least:
+                for a, b in ((lo, left), (right, hi)):
+                    found += self._dropped(a, b, test, start, item, depth)
+            on = left < right
+            start, item, lo, hi, depth = start[on], item[on], left[on], right[on], depth + 1
+        best = pd.concat([pd.DataFrame(columns=["doc", "item", "n", "at"], dtype=np.int64), *found])
+        best = best.sort_values(["n", "at"], ascending=[False, True]).drop_duplicates(["doc", "item"])
+        doc = best["doc"].to_numpy(dtype=np.int64)
+        return pd.DataFrame({"doc_id": self.ids[doc], "item_id": items.ids[best["item"].to_numpy(dtype=np.int64)], "n_words": best["n"].to_numpy(dtype=np.int64), "at_word": best["at"].to_numpy(dtype=np.int64) - self.starts[doc]})
+
+    def _dropped(self, lo: np.ndarray, hi: np.ndarray, test: np.ndarray, start: np.ndarray, item: np.ndarray, depth: int) -> Iterator[pd.DataFrame]:
+        """The locations of the ranges, in steps of bounded size, that match from no earlier word."""
+        some = np.flatnonzero(lo < hi)
+        size = (hi - lo)[some]
+        before = np.cumsum(size) - size
+        for first in range(0, int(size.sum()), STEP):
+            place = np.arange(first, min(first + STEP, int(size.sum())))
+            k = np.searchsorted(before, place, "right") - 1
+            at, s = self.array[lo[some[k]] + place - before[k]], start[some[k]]
+            earlier = (at > 0) & (s > 0) & (self.tokens[at - 1] == test[s - 1])
+            at, i = at[~earlier], item[some[k]][~earlier]
+            doc = np.searchsorted(self.starts, at, "right") - 1
+            yield pd.DataFrame({"doc": doc, "item": i, "n": depth, "at": at}).sort_values("at").drop_duplicates(["doc", "item"])
+
+
+def item_blocks(items: DataFrame) -> Iterator[Items]:
     """Blocks of items, each of at most BLOCK_WORDS words (or one item), read one after the other."""
     block, size = [], 0
-    for row in items.where("item_id is not null and text is not null").select("item_id", "text").distinct().orderBy("item_id").toLocalIterator():
+    for row in items.where("item_id is not null and text is not null").select("item_id", "text").distinct().toLocalIterator():
         w = runs(clean_value(row["text"]))
         if block and size + len(w) > BLOCK_WORDS:
-            yield ItemSuffixes(block, least)
+            yield Items(block)
             block, size = [], 0
         block.append((row["item_id"], w))
         size += len(w)
     if block:
-        yield ItemSuffixes(block, least)
+        yield Items(block)
 
 
 def find_leaks(documents: DataFrame, items: DataFrame, least: int = 12) -> DataFrame:
@@ -102,33 +144,34 @@ def find_leaks(documents: DataFrame, items: DataFrame, least: int = 12) -> DataF
 
     Both are cleaned first; words are lower-cased runs of letters and digits. Null or empty texts and shorter items match
     nothing, rows without an id are ignored, repeated rows count once, an empty table gives no rows. The longest match of
-    each pair is reported, of equal ones the first.
+    each pair is reported, of equal ones the first. The driver holds one block of items at a time.
     """
+    spark = documents.sparkSession
 
-    def run(tests: ItemSuffixes):
+    def run(shared):
         def shards(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-            shard, size = [], 0
+            docs, size = [], 0
             for pdf in batches:
                 for i, text in zip(pdf["doc_id"], pdf["text"]):
                     w = runs(clean_value(text))
-                    shard.append((i, w))
-                    size += len(w)
+                    if len(w) >= least:
+                        docs.append((i, w))
+                        size += len(w)
                     if size >= SHARD_WORDS:
-                        yield search(shard, tests)
-                        shard, size = [], 0
-            if shard:
-                yield search(shard, tests)
+                        yield Shard(docs).search(shared.value, least)
+                        docs, size = [], 0
+            if docs:
+                yield Shard(docs).search(shared.value, least)
 
         return shards
 
     docs = documents.where("doc_id is not null and text is not null").select("doc_id", "text")
-    schema = "doc_id long, item_id long, n_words long, at_word long"
     out = None
-    for tests in item_blocks(items, least):
-        part = docs.mapInPandas(run(tests), schema)
+    for block in item_blocks(items):
+        part = docs.mapInPandas(run(spark.sparkContext.broadcast(block)), MATCHES)
         out = part if out is None else out.unionByName(part)
     if out is None:
-        return documents.sparkSession.createDataFrame([], schema)
+        return spark.createDataFrame([], MATCHES)
     best = F.max(F.struct("n_words", (-F.col("at_word")).alias("before"))).alias("best")
     return out.groupBy("doc_id", "item_id").agg(best).select("doc_id", "item_id", F.col("best.n_words").alias("n_words"), (-F.col("best.before")).alias("at_word"))
 

@@ -1,10 +1,12 @@
 import collections
+import random
 
+import numpy as np
 from pyspark.sql import functions as F
 
 from loomstead.functions.text import clean_value
 from loomstead.llm import leaks
-from loomstead.llm.leaks import ItemSuffixes, find_leaks, search, without_leaks
+from loomstead.llm.leaks import Items, Shard, find_leaks, suffix_array, without_leaks
 from loomstead.llm.sketches import runs
 from loomstead.sources.tables import table
 from tests.conftest import DATA
@@ -43,7 +45,43 @@ def test_layout_edges_and_lengths(spark, monkeypatch):
 
 def test_a_document_doesnt_run_into_the_next():
     w = [f"w{i}" for i in range(12)]
-    assert len(search([(1, w[:6]), (2, w[6:])], ItemSuffixes([(1, w)], 12))) == 0
+    assert len(Shard([(1, w[:6]), (2, w[6:])]).search(Items([(1, w)]), 12)) == 0
+
+
+def longest(doc, item, least):
+    best = (0, 0)
+    for a in range(len(doc)):
+        for b in range(len(item)):
+            n = 0
+            while a + n < len(doc) and b + n < len(item) and doc[a + n] == item[b + n]:
+                n += 1
+            best = max(best, (n, -a))
+    return (best[0], -best[1]) if best[0] >= least else None
+
+
+def test_longest_matches_equal_brute_force(monkeypatch):
+    """Few different words, so that matches overlap, repeat and nest; steps of a few locations."""
+    rng = random.Random(5)
+    monkeypatch.setattr(leaks, "STEP", 7)
+    for words, least in (("ab", 4), ("abc", 3), ("abcdef", 2)):
+        draw = lambda n: [rng.choice(words) for _ in range(rng.randrange(0, n))]
+        docs, items = [(10 + k, draw(30)) for k in range(12)], [(k, draw(20)) for k in range(9)] + [(50, ["z"] * 9), (51, [])]
+        got = {(r.doc_id, r.item_id): (r.n_words, r.at_word) for r in Shard(docs).search(Items(items), least).itertuples()}
+        want = {(d, i): m for d, x in docs for i, y in items if (m := longest(x, y, least))}
+        assert got == want
+
+
+def test_the_array_is_in_order():
+    rng = np.random.default_rng(2)
+    for kinds in (1, 2, 50):
+        docs = [rng.integers(0, kinds, rng.integers(0, 200)) for _ in range(9)]
+        tokens = np.concatenate([np.append(x + len(docs), k) for k, x in enumerate(docs)]).astype(np.int32)
+        assert suffix_array(tokens).tolist() == sorted(range(len(tokens)), key=lambda k: tokens[k:].tolist())
+
+
+def test_one_word_over_and_over():
+    got = Shard([(1, ["w"] * 20_000), (2, ["w"] * 30)]).search(Items([(7, ["w"] * 300)]), 12)
+    assert {(r.doc_id, r.n_words, r.at_word) for r in got.itertuples()} == {(1, 300, 0), (2, 30, 0)}
 
 
 def test_the_tables(spark):
