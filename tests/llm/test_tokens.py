@@ -3,7 +3,7 @@ import random
 import pytest
 from pyspark.sql import functions as F
 
-from loomstead.llm.tokens import FOLDER, decode, encode
+from loomstead.llm.tokens import FOLDER, decode, encode, merge, merge_pairs, read_ranks
 from loomstead.sources.tables import table
 from tests.conftest import DATA
 
@@ -30,6 +30,26 @@ def test_texts_of_all_sorts_and_back(spark):
     assert encode(df.limit(0)).count() == 0
 
 
+def test_every_piece_merges_to_itself():
+    """So a word that is a piece needs no merges, and each piece is made of just one pair of parts."""
+    for name in ("byte_bpe_50k", "byte_bpe_multi_50k"):
+        ranks = read_ranks(name)
+        assert all(merge(p, ranks) == [p] for p in ranks)
+        pairs = merge_pairs(name)
+        assert len(pairs) == len(set(pairs.values())) == sum(len(p) > 1 for p in ranks)
+
+
+def test_folds_and_the_heap_agree(spark, monkeypatch):
+    from loomstead.llm import tokens
+
+    rng = random.Random(8)
+    texts = ["".join(rng.choice(a) for _ in range(n)) for a in ("abcde", "=-", "éñ日本", "aA") for n in (1, 2, 7, 60, 90, 150)]
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    one = {r.doc_id: r.ids for r in encode(df).collect()}
+    monkeypatch.setattr(tokens, "LONG_BYTES", 0)
+    assert {r.doc_id: r.ids for r in encode(df).collect()} == one
+
+
 def test_the_tables(spark):
     want = reference()
     docs = table(spark, DATA, "documents")
