@@ -29,6 +29,8 @@ MISS, TAIL = 3e-4, 1e-4
 #: Longer segments are preferred, as unlike texts meet in fewer of them, while so many segments are enough.
 WIDTHS, MOST_SEGMENTS = (6, 4, 2), 64
 BLOCK = 1 << 20
+#: Buckets with more entries than SPLIT, and than 1/HOT_SHARE of the classes, are split over tasks in blocks of SPLIT.
+SPLIT, HOT_SHARE, TRACKED = 50_000, 64, 1 << 14
 
 
 def _largest(n: int, share: float) -> int:
@@ -141,31 +143,101 @@ def _bucket_pairs(k: np.ndarray, ids: np.ndarray, c: np.ndarray, plan: Plan) ->
             yield pd.DataFrame({"a": np.minimum(a, b), "b": np.maximum(a, b)})
 
 
-def candidates(filed: DataFrame, plan: Plan) -> DataFrame:
-    """Distinct pairs (a, b), a < b, whose segments come within one symbol somewhere and whose check bits are close."""
+def hot_buckets(filed: DataFrame, plan: Plan, classes: int) -> dict[int, int]:
+    """Buckets to split, with their entries. A class has one entry per half segment, so there are at most HOT_SHARE for each.
+
+    A sketch of heavy hitters names the buckets that may be hot, all that are and perhaps others; those alone are counted.
+    """
+    least = max(SPLIT, classes // HOT_SHARE)
+    if classes <= least:
+        return {}
+    bucket = F.shiftright("k", plan.half)
+    most = min(TRACKED // 2, 2 * plan.segments * HOT_SHARE)
+    maybe = filed.agg(F.expr(f"approx_top_k(shiftright(k, {plan.half}), {most}, {TRACKED})").alias("t")).first()["t"] or []
+    maybe = [x["item"] for x in maybe if x["count"] > least]
+    if not maybe:
+        return {}
+    counts = filed.where(bucket.isin(maybe)).groupBy(bucket.alias("bucket")).agg(F.count(F.lit(1)).alias("n"))
+    return {r["bucket"]: r["n"] for r in counts.where(F.col("n") > least).collect()}
+
+
+def candidates(filed: DataFrame, plan: Plan, hot: dict[int, int] | None = None) -> DataFrame:
+    """Distinct pairs (a, b), a < b, whose segments come within one symbol somewhere and whose check bits are close.
+
+    A bucket is read by one task, whole. A ``hot`` one is cut into blocks of about SPLIT entries, and each pair of its
+    blocks is a task's work, so its entries travel once per block but no task holds more than two blocks.
+    """
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         kept: list[tuple] = []
         size = 0
 
-        def flush(last: bool) -> Iterator[pd.DataFrame]:
-            nonlocal kept, size
-            if not kept:
-                return
-            k, ids, c = (np.concatenate(x) for x in zip(*kept))
-            whole = len(k) if last else int(np.searchsorted(k >> plan.half, k[-1] >> plan.half, "left"))
-            yield from _bucket_pairs(k[:whole], ids[:whole], c[:whole], plan)
-            kept, size = ([(k[whole:], ids[whole:], c[whole:])] if whole < len(k) else []), 0
+        def columns(pdf: pd.DataFrame) -> tuple:
+            return pdf["k"].to_numpy(), pdf["id"].to_numpy(), pdf[["c1", "c2"]].to_numpy().view(np.uint64)  # counts bits of signed numbers by absolute value
 
         for pdf in batches:
-            kept.append((pdf["k"].to_numpy(), pdf["id"].to_numpy(), pdf[["c1", "c2"]].to_numpy().view(np.uint64)))  # counts bits of signed numbers by absolute value
-            size += len(pdf)
-            if size >= 200_000:
-                yield from flush(False)
-        yield from flush(True)
-
-    spread = filed.repartition(F.shiftright("k", plan.half)).sortWithinPartitions("k")
-    return spread.mapInPandas(run, "a long, b long").distinct()
+            k, ids, c = columns(pdf)
+            if size + len(k) >= 200_000 and len(k):
+                # up to where the last bucket of this batch begins; of what is kept, all is of whole buckets then
+                cut = int(np.searchsorted(k >> plan.half, k[-1] >> plan.half, "left"))
+                if cut or (kept and kept[-1][0][-1] >> plan.half != k[0] >> plan.half):
+                    kept.append((k[:cut], ids[:cut], c[:cut]))
+                    yield from _bucket_pairs(*(np.concatenate(x) for x in zip(*kept)), plan)
+                    kept, size = [], 0
+                    k, ids, c = k[cut:], ids[cut:], c[cut:]
+            if len(k):
+                kept.append((k, ids, c))
+                size += len(k)
+        if kept:
+            yield from _bucket_pairs(*(np.concatenate(x) for x in zip(*kept)), plan)
+
+    def run_blocks(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        def pairs(g: pd.DataFrame) -> Iterator[pd.DataFrame]:
+            side = dict(zip(g["id"], g["block"]))
+            cross = g["x"].iloc[0] != g["y"].iloc[0]
+            for out in _bucket_pairs(g["k"].to_numpy(), g["id"].to_numpy(), g[["c1", "c2"]].to_numpy().view(np.uint64), plan):
+                yield out[out["a"].map(side) != out["b"].map(side)] if cross else out
+
+        rest = None
+        for pdf in batches:
+            rest = pdf if rest is None else pd.concat([rest, pdf], ignore_index=True)
+            keys = ["bucket", "x", "y"]
+            last = (rest[keys] == rest[keys].iloc[-1]).all(axis=1) if len(rest) else None
+            if last is not None and not last.all():
+                for _, g in rest[~last].groupby(keys, sort=False):
+                    yield from pairs(g)
+                rest = rest[last]
+        if rest is not None and len(rest):
+            yield from pairs(rest)
+
+    bucket = F.shiftright("k", plan.half)
+    hot = hot or {}
+    is_hot = bucket.isin(list(hot)) if hot else F.lit(False)
+    spread = filed.where(~is_hot).repartition(bucket).sortWithinPartitions("k")
+    out = spread.mapInPandas(run, "a long, b long")
+    if hot:
+        blocks = F.create_map(*[F.lit(x).cast("long") for b, n in hot.items() for x in (b, -(-n // SPLIT))])
+        own = filed.where(is_hot).withColumn("bucket", bucket).withColumn("n", blocks[F.col("bucket")]).withColumn("block", F.pmod(F.xxhash64("id"), F.col("n")))
+        others = F.transform(F.sequence(F.lit(0).cast("long"), F.col("n") - 1), lambda o: F.struct(F.least(o, F.col("block")).alias("x"), F.greatest(o, F.col("block")).alias("y")))
+        met = own.select("k", "id", "c1", "c2", "bucket", "block", F.explode(others).alias("p")).select("k", "id", "c1", "c2", "bucket", "block", "p.x", "p.y")
+        met = met.repartition("bucket", "x", "y").sortWithinPartitions("bucket", "x", "y", "k")
+        out = out.unionByName(met.mapInPandas(run_blocks, "a long, b long"))
+    return out.distinct()
+
+
+def exact_candidates(sets: DataFrame, similarity: float) -> DataFrame:
+    """All pairs (a, b), a < b, of sets (id, runs) that can reach the similarity: they share one of their rarest shingles.
+
+    A set of n shingles, the rarest first, shares one of its first n - ceil(similarity n) + 1 with any set as similar.
+    """
+    uses = sets.select("id", F.size("runs").alias("n"), F.explode("runs").alias("r"))
+    rare = uses.join(uses.groupBy("r").agg(F.count(F.lit(1)).alias("f")).where("f > 1"), "r")  # runs of one set alone come before them
+    ranked = rare.groupBy("id", "n").agg(F.array_sort(F.collect_list(F.struct("f", "r"))).alias("x"))
+    first = F.col("n") - F.ceil(F.lit(similarity) * F.col("n") - 1e-9).cast("int") + 1 - (F.col("n") - F.size("x"))
+    prefix = ranked.where(first > 0).select("id", "n", F.explode(F.slice("x", F.lit(1), first)).alias("x")).select("id", "n", "x.r")
+    other = prefix.select(F.col("id").alias("b"), F.col("n").alias("m"), "r")
+    near = (F.col("n") >= F.lit(similarity) * F.col("m") - 1e-9) & (F.col("m") >= F.lit(similarity) * F.col("n") - 1e-9)
+    return prefix.withColumnRenamed("id", "a").join(other, "r").where((F.col("a") < F.col("b")) & near).select("a", "b").distinct()
 
 
 def _distance(x: str, y: str):
@@ -193,26 +265,38 @@ class NearDuplicates:
     ``docs`` has id and text. Null texts and texts under ``least_words`` words are in no class; ids delivered twice count
     once; an empty table gives empty results. Links are all candidate pairs of the index whose complete fingerprint
     distance is small and whose shingle sets have at least ``similarity`` in common; a pair at exactly that similarity is
-    missed with a chance of at most MISS + 2 TAIL, a closer one with less. Nothing is capped or sampled.
+    missed with a chance of at most MISS + 2 TAIL, a closer one with less. With ``exact`` candidates come from shared rare
+    shingles instead, at the cost of a shuffle of all shingles, and no link is missed. Nothing is capped or sampled.
     """
 
-    def __init__(self, docs: DataFrame, similarity: float = 0.8, shingle: int = 5, least_words: int = 1):
+    def __init__(self, docs: DataFrame, similarity: float = 0.8, shingle: int = 5, least_words: int = 1, exact: bool = False):
         self.cuts = cuts = Cuts(docs.sparkSession, "near-duplicates")
         plan = Plan.of(similarity)
         sketched = cuts.cut(fingerprints(docs, shingle, least_words, plan), "fingerprints")
         heads = sketched.groupBy("set_key").agg(F.min("id").alias("rep"))
-        self.members = sketched.select("id", "set_key").distinct().join(heads, "set_key").select("id", "rep")
+        self.members = cuts.cut(sketched.select("id", "set_key").distinct().join(heads, "set_key").select("id", "rep"), "members")
         reps = sketched.join(heads.select(F.col("rep").alias("id")), "id", "left_semi").dropDuplicates(["id"]).drop("set_key")
-        pairs = cuts.cut(candidates(entries(reps, plan), plan), "candidates")
-        x, y = reps.select(F.col("id").alias("a"), F.struct("segs").alias("x")), reps.select(F.col("id").alias("b"), F.struct("segs").alias("y"))
-        near = pairs.join(x, "a").join(y, "b").where(_distance("x", "y") <= plan.whole)
-        near = cuts.cut(near.select("a", "b"), "near")
-        wanted = near.select(F.explode(F.array("a", "b")).alias("id")).distinct()
-        sets = cuts.cut(shingle_sets(docs.select("id", "text").join(wanted, "id", "left_semi").dropDuplicates(["id"]), shingle), "sets")
+        sets_of = lambda ids: shingle_sets(docs.select("id", "text").join(ids, "id", "left_semi").dropDuplicates(["id"]), shingle)
+        if exact:
+            sets = cuts.cut(sets_of(reps.select("id")), "sets")
+            near = cuts.cut(exact_candidates(sets, similarity), "near")
+        else:
+            reps = cuts.cut(reps, "reps")
+            cuts.drop(sketched)
+            filed = entries(reps, plan)
+            pairs = cuts.cut(candidates(filed, plan, hot_buckets(filed, plan, reps.count())), "candidates")
+            x, y = reps.select(F.col("id").alias("a"), F.struct("segs").alias("x")), reps.select(F.col("id").alias("b"), F.struct("segs").alias("y"))
+            near = pairs.join(x, "a").join(y, "b").where(_distance("x", "y") <= plan.whole)
+            near = cuts.cut(near.select("a", "b"), "near")
+            cuts.drop(reps)
+            cuts.drop(pairs)
+            sets = cuts.cut(sets_of(near.select(F.explode(F.array("a", "b")).alias("id")).distinct()), "sets")
         both = near.join(sets.select(F.col("id").alias("a"), F.col("runs").alias("ra")), "a").join(sets.select(F.col("id").alias("b"), F.col("runs").alias("rb")), "b")
         shared = F.size(F.array_intersect("ra", "rb"))
         both = both.select("a", "b", (shared / (F.size("ra") + F.size("rb") - shared)).alias("similarity"))
         self.links = cuts.cut(both.where(F.col("similarity") >= similarity), "links")
+        cuts.drop(sets)
+        cuts.drop(near)
 
     def groups(self) -> DataFrame:
         """One row per document: its class, the number of other classes it is linked to, and its connected group."""

@@ -20,9 +20,12 @@ def p3_found(spark: SparkSession, d: str) -> DataFrame:
     linked = near.links.select("a", "b").unionByName(near.members.groupBy("rep").count().where("count > 1").select(F.col("rep").alias("a"), F.col("rep").alias("b")))
     used = near.members.join(linked.select(F.explode(F.array("a", "b")).alias("rep")).distinct(), "rep", "left_semi")
     rows = near.cuts.cut(used.join(hashes, "id"), "rows")
-    x = rows.select(F.col("rep").alias("a"), F.col("id").alias("i"), F.col("content_hash").alias("h"))
-    y = rows.select(F.col("rep").alias("b"), F.col("id").alias("j"), F.col("content_hash").alias("g"))
-    pairs = linked.join(x, "a").join(y, "b").where(F.col("h") != F.col("g")).where((F.col("a") != F.col("b")) | (F.col("i") < F.col("j")))
+    # rows of one class and hash are one: pairs of those are found before any pair of rows
+    kinds = rows.where("content_hash is not null").select("rep", "content_hash").distinct()
+    x, y = (kinds.select(F.col("rep").alias(r), F.col("content_hash").alias(h)) for r, h in (("a", "h"), ("b", "g")))
+    pairs = linked.join(x, "a").join(y, "b").where(F.col("h") != F.col("g")).where((F.col("a") != F.col("b")) | (F.col("h") < F.col("g")))
+    i, j = (rows.select(F.col("rep").alias(r), F.col("content_hash").alias(h), F.col("id").alias(n)) for r, h, n in (("a", "h", "i"), ("b", "g", "j")))
+    pairs = pairs.join(i, ["a", "h"]).join(j, ["b", "g"])
     return pairs.select(F.least("i", "j").alias("corpus_id_a"), F.greatest("i", "j").alias("corpus_id_b")).distinct()
 
 

@@ -32,14 +32,17 @@ def brute(rows, n, least, limit):
     return {(a, b) for a, b in itertools.combinations(sorted(sets), 2) if len(sets[a] & sets[b]) / len(sets[a] | sets[b]) >= limit}, sets
 
 
+def pairs_of(near):
+    rep = {r.id: r.rep for r in near.members.collect()}
+    links = {(r.a, r.b) for r in near.links.collect()}
+    return {(a, b) for a, b in itertools.combinations(sorted(rep), 2) if rep[a] == rep[b] or (min(rep[a], rep[b]), max(rep[a], rep[b])) in links}
+
+
 def test_links_are_those_of_brute_force(spark):
     rows = list(enumerate(texts()))
     want, _ = brute(rows, 3, 40, 0.6)
-    near = NearDuplicates(spark.createDataFrame(rows, "id long, text string"), 0.6, 3, 40)
-    rep = {r.id: r.rep for r in near.members.collect()}
-    links = {(r.a, r.b) for r in near.links.collect()}
-    got = {(a, b) for a, b in itertools.combinations(sorted(rep), 2) if rep[a] == rep[b] or (min(rep[a], rep[b]), max(rep[a], rep[b])) in links}
-    assert got <= want and len(got) >= 0.99 * len(want) > 30
+    docs = spark.createDataFrame(rows, "id long, text string")
+    assert pairs_of(NearDuplicates(docs, 0.6, 3, 40)) == want == pairs_of(NearDuplicates(docs, 0.6, 3, 40, exact=True)) and len(want) > 30
 
 
 def test_pairs_close_to_the_similarity(spark):
@@ -52,8 +55,26 @@ def test_pairs_close_to_the_similarity(spark):
     v = Vocabulary()
     sets = {i: set(shingle_hashes(v.ids(words(t)), 3).tolist()) for i, t in rows}
     want = {(i, i + 1) for i in range(0, len(rows), 2) if len(sets[i] & sets[i + 1]) / len(sets[i] | sets[i + 1]) >= 0.6}
-    got = {(r.a, r.b) for r in NearDuplicates(spark.createDataFrame(rows, "id long, text string"), 0.6, 3, 40).links.collect()}
+    docs = spark.createDataFrame(rows, "id long, text string")
+    got = {(r.a, r.b) for r in NearDuplicates(docs, 0.6, 3, 40).links.collect()}
     assert len(want) == 600 and got <= want and len(want - got) <= 2
+    assert {(r.a, r.b) for r in NearDuplicates(docs, 0.6, 3, 40, exact=True).links.collect()} == want
+
+
+def test_hot_buckets_in_blocks(spark, monkeypatch):
+    """A family of texts that differ in one word each, a third of all: its buckets are cut into blocks, no link is lost."""
+    from loomstead.llm import near_duplicates as N
+
+    rng = random.Random(7)
+    w = [f"w{i}" for i in range(80)]
+    rows = [(i, " ".join(w[: i % 80] + [f"v{i}"] + w[i % 80 + 1 :])) for i in range(60)]
+    rows += [(100 + i, " ".join(f"x{rng.randrange(10**6)}" for _ in range(60))) for i in range(120)]
+    want, _ = brute(rows, 3, 40, 0.6)
+    monkeypatch.setattr(N, "SPLIT", 5)
+    split = []
+    monkeypatch.setattr(N, "hot_buckets", lambda *a, real=N.hot_buckets: split.append(real(*a)) or split[-1])
+    near = NearDuplicates(spark.createDataFrame(rows, "id long, text string"), 0.6, 3, 40)
+    assert pairs_of(near) == want and split[0] and min(split[0].values()) > 5
 
 
 def test_copies_nulls_and_short_texts(spark):
