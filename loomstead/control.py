@@ -78,6 +78,18 @@ class Settings:
                 raise ValueError(f"LOOMSTEAD_{name.upper()} must be set to {why}")
 
 
+def listing(repositories: DataFrame, enabled_only: bool = False) -> DataFrame:
+    """Repositories by name, with times as ISO text."""
+    rows = repositories.where("enabled") if enabled_only else repositories
+    iso = lambda c: F.date_format(c, "yyyy-MM-dd'T'HH:mm:ss").alias(c)
+    return rows.orderBy("full_name").select("id", "full_name", "enabled", iso("created_at"), iso("updated_at"))
+
+
+def recent(runs: DataFrame, limit: int) -> DataFrame:
+    """The runs that began last, newest first; at least one."""
+    return runs.orderBy(F.desc("started_at"), F.desc("id")).limit(max(1, limit))
+
+
 @dataclass
 class Repositories:
     store: Store
@@ -87,9 +99,7 @@ class Repositories:
         return self.store.read("repositories")
 
     def list(self, enabled_only: bool = False) -> list[dict]:
-        rows = self.rows().where("enabled") if enabled_only else self.rows()
-        iso = lambda c: F.date_format(c, "yyyy-MM-dd'T'HH:mm:ss").alias(c)
-        return [r.asDict() for r in rows.orderBy("full_name").select("id", "full_name", "enabled", iso("created_at"), iso("updated_at")).collect()]
+        return [r.asDict() for r in listing(self.rows(), enabled_only).collect()]
 
     def names(self) -> list[str]:
         return [r["full_name"] for r in self.list(enabled_only=True)]
@@ -153,7 +163,7 @@ class Runs:
 
     def recent(self, limit: int = 10) -> list[dict]:
         """The runs that began last, newest first; at least one."""
-        rows = self.store.read("pipeline_runs").orderBy(F.desc("started_at"), F.desc("id")).limit(max(1, limit)).collect()
+        rows = recent(self.store.read("pipeline_runs"), limit).collect()
         iso = lambda t: t.isoformat() if t else None
         return [{"id": r["id"], "run_type": r["run_type"], "status": r["status"], "started_at": iso(r["started_at"]), "completed_at": iso(r["completed_at"]), "stats": json.loads(r["stats"] or "{}"), "error_message": r["error_message"]} for r in rows]
 

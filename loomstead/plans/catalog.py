@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-from loomstead.plans import collection_queries, corpus_queries, problem5
+from loomstead.plans import collection_queries, corpus_queries, landed_queries, problem5
 
-MODULES = (corpus_queries, collection_queries, problem5)
+MODULES = (corpus_queries, collection_queries, landed_queries, problem5)
 
 
 def queries() -> dict:

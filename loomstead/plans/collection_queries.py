@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from loomstead.functions.text import number_in_url
 from loomstead.operators import annotations as A
 from loomstead.operators import ingest as I
+from loomstead.operators.joins import join_unique
 from loomstead.operators.references import normal_category
 from loomstead.operators.upsert import keep_last, upsert
 from loomstead.sources.tables import table
@@ -93,8 +94,9 @@ def cursors(spark: SparkSession, d: str) -> DataFrame:
 
 def slice_since(spark: SparkSession, d: str) -> DataFrame:
     """Rows that the next collection reads again: within the overlap of their repository's cursor."""
-    marks = table(spark, d, "issues").groupBy("repository_id").agg(F.max("updated_at").alias("latest"))
-    return table(spark, d, "issues").join(F.broadcast(marks), "repository_id").where(F.col("updated_at") >= F.col("latest") - F.expr("interval 300 seconds")).select("id", "repository_id", "updated_at").distinct()
+    marks = cursors(spark, d).select("repository_id", I.to_utc(F.col("since")).alias("since"))
+    rows = join_unique(table(spark, d, "issues").select("id", "repository_id", "updated_at"), marks, ["repository_id"], "inner")
+    return rows.where(F.col("updated_at") >= F.col("since")).select("id", "repository_id", "updated_at").distinct()
 
 
 def stream_counters(spark: SparkSession, d: str) -> DataFrame:
@@ -109,15 +111,6 @@ def failed_streams(spark: SparkSession, d: str) -> DataFrame:
     return per.withColumn("status", status).groupBy("repository_id").agg(F.count_if(F.col("status") == "failed").alias("n_failed"), F.count(F.lit(1)).alias("n_streams"))
 
 
-def recent(spark: SparkSession, d: str) -> DataFrame:
-    """The ten events that began last, as runs: top-k with a tie-break."""
-    return table(spark, d, "events").select("event_id", "ts", "event_type").orderBy(F.desc("ts"), F.desc("event_id")).limit(10)
-
-
-def enabled(spark: SparkSession, d: str) -> DataFrame:
-    return table(spark, d, "repositories").where("enabled").select("id", "full_name", F.date_format("created_at", "yyyy-MM-dd'T'HH:mm:ss").alias("created_at")).orderBy("full_name")
-
-
 def ordered_names(spark: SparkSession, d: str) -> DataFrame:
     """Distinct repository names in the order of their first document."""
     return table(spark, d, "documents").groupBy("repo_name").agg(F.min("doc_id").alias("first_doc_id")).orderBy("first_doc_id")
@@ -184,8 +177,6 @@ QUERIES = {
     "incremental_slice": slice_since,
     "stream_counters": stream_counters,
     "failed_streams": failed_streams,
-    "recent_runs_topk": recent,
-    "enabled_repositories": enabled,
     "ordered_distinct_names": ordered_names,
     "validate_annotations": validated,
     "label_stats": label_stats,
@@ -214,8 +205,6 @@ SQL = {
     "incremental_slice": "SELECT DISTINCT id, repository_id, updated_at FROM issues i WHERE updated_at >= (SELECT max(updated_at) FROM issues j WHERE j.repository_id = i.repository_id) - INTERVAL 300 SECOND",
     "stream_counters": f"SELECT stream, count(*) AS n_items, sum(attempt_count)::BIGINT AS n_attempts, count(*) FILTER (resolved_at IS NULL) AS n_open FROM ({_ONCE}) GROUP BY ALL",
     "failed_streams": f"SELECT repository_id, count(*) FILTER (n > 0) AS n_failed, count(*) AS n_streams FROM (SELECT repository_id, stream, count(*) FILTER (resolved_at IS NULL AND attempt_count >= 3) n FROM ({_ONCE}) GROUP BY ALL) GROUP BY ALL",
-    "recent_runs_topk": "SELECT event_id, ts, event_type FROM events ORDER BY ts DESC, event_id DESC LIMIT 10",
-    "enabled_repositories": "SELECT id, full_name, strftime(created_at, '%Y-%m-%dT%H:%M:%S') AS created_at FROM repositories WHERE enabled ORDER BY full_name",
     "ordered_distinct_names": "SELECT repo_name, min(doc_id) AS first_doc_id FROM documents GROUP BY ALL",
     "validate_annotations": f"SELECT id AS corpus_id, CASE WHEN {_OK} THEN 'succeeded' ELSE 'failed' END AS status, CASE WHEN NOT ({_OK}) THEN NULL WHEN source_type = 'issue_comment' THEN 0 ELSE 1 END AS n FROM (SELECT * REPLACE (coalesce(language, '') AS language) FROM ({_C1}))",
     "label_stats": f"SELECT count(*) AS read, count(*) FILTER ({_OK}) AS succeeded, count(*) FILTER (NOT ({_OK})) AS failed FROM (SELECT * REPLACE (coalesce(language, '') AS language) FROM ({_C1}))",
