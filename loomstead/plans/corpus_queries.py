@@ -2,10 +2,13 @@
 
 from __future__ import annotations
 
+import functools
+import unicodedata
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from loomstead.functions.text import clean_normalised, content_hash, language_tag, model_input, paragraphs
+from loomstead.functions.text import clean_normalised, clean_text, content_hash, language_tag, model_input, nfkc, paragraphs
 from loomstead.operators.corpus import build_corpus, corpus_candidates, corpus_rows, current_versions, duplicate_pointers, latest
 from loomstead.operators.upsert import keep_last, upsert
 from loomstead.schemas import TABLES
@@ -25,6 +28,24 @@ def corpus_build(spark: SparkSession, d: str) -> DataFrame:
     return build_corpus(empty, candidates(spark, d), run_time())[0]
 
 
+def corpus_build_counts(spark: SparkSession, d: str) -> DataFrame:
+    """The counts of a first build, and of a second one on its result, which reads and writes all again and adds nothing."""
+    now, rows = run_time(), candidates(spark, d)
+    corpus, first = build_corpus(spark.createDataFrame([], TABLES["corpus"]), rows, now)
+    again, second = build_corpus(corpus, rows, now)
+    sizes = again.select(F.lit(1).alias("build"), "id").unionByName(corpus.select(F.lit(0).alias("build"), "id")).groupBy("build").agg(F.count(F.lit(1)).alias("rows"), F.max("id").alias("highest_id"))
+    stats = spark.createDataFrame([(n, x["read"], x["written"], x["duplicates"], x["empty"]) for n, x in enumerate((first, second))], "build int, n_read long, n_written long, n_duplicates long, n_empty long")
+    return stats.join(sizes, "build")
+
+
+def cleaned(spark: SparkSession, d: str) -> DataFrame:
+    return table(spark, d, "documents").select("doc_id", clean_text(F.col("text")).alias("cleaned"))
+
+
+def normalised(spark: SparkSession, d: str) -> DataFrame:
+    return table(spark, d, "documents").select("doc_id", nfkc("text").alias("text"))
+
+
 def corpus_raw(spark: SparkSession, d: str) -> DataFrame:
     """Raw texts and hashes of all candidates, which don't depend on cleaning."""
     rows = corpus_rows(candidates(spark, d), run_time(), clean=lambda c: c)
@@ -119,11 +140,39 @@ def _clean(x: str) -> str:
 
 
 _TARGET = f"CASE WHEN source_type IN ('issue', 'pull_request') THEN concat_ws(chr(10) || chr(10), nullif({_clean('title')}, ''), nullif({_clean('body')}, '')) ELSE {_clean('body')} END"
+
+
+@functools.cache
+def _nfkc_sql(texts: str, column: str) -> str:
+    """A query for (x, y): y is NFKC of each non-ASCII x. DuckDB has NFC, so only characters that compatibility alone
+    changes are replaced before, by a table that Python's Unicode data gives."""
+    changed = [(c, k) for c in map(chr, range(0x80, 0x110000)) if not 0xD800 <= ord(c) < 0xE000 and (k := unicodedata.normalize("NFKC", c)) != unicodedata.normalize("NFC", c)]
+    rows = ", ".join("('{}', '{}')".format(*(x.replace("'", "''") for x in pair)) for pair in changed)
+    return f"""SELECT x, nfc_normalize(string_agg(coalesce(k, c), '' ORDER BY i)) AS y FROM (
+        SELECT x, unnest(cs) AS c, unnest(range(len(cs))) AS i FROM (SELECT x, regexp_extract_all(x, '(?s).') AS cs FROM (SELECT DISTINCT {column} AS x FROM ({texts})) WHERE regexp_matches(x, '[^\\x00-\\x7f]'))
+        ) LEFT JOIN (VALUES {rows}) m(c, k) USING (c) GROUP BY x"""
+
+
 _CORPUS_ONCE = "SELECT * FROM corpus QUALIFY row_number() OVER (PARTITION BY id ORDER BY source_updated_at) = 1"
 
+# the candidates with title and body in NFKC as _t and _b
+_NORMAL = f"""WITH c AS ({_CANDIDATES}), n AS ({_nfkc_sql('SELECT title AS v FROM c UNION ALL SELECT body FROM c', 'v')})
+    SELECT c.*, coalesce(t.y, c.title) AS _t, coalesce(b.y, c.body) AS _b FROM c LEFT JOIN n t ON t.x = c.title LEFT JOIN n b ON b.x = c.body"""
+_OWN = "source_type IN ('issue', 'pull_request')"
+_ORDER = "list_position(['issue', 'pull_request', 'issue_comment', 'pr_issue_comment', 'pr_review_comment'], source_type)"
+_BUILT = f"""WITH r AS (SELECT source_type, source_id, parent_id, {_RAW} AS raw_text, CASE WHEN {_OWN} THEN '' ELSE CASE source_type WHEN 'issue_comment' THEN 'Issue title: ' ELSE 'Pull request title: ' END || {_clean('_t')} END AS context_text,
+      CASE WHEN {_OWN} THEN concat_ws(chr(10) || chr(10), nullif({_clean('_t')}, ''), nullif({_clean('_b')}, '')) ELSE {_clean('_b')} END AS target_text, {_HASH} AS content_hash, source_updated_at FROM ({_NORMAL})),
+    k AS (SELECT *, row_number() OVER (ORDER BY {_ORDER}, source_id, content_hash) AS id, len(regexp_extract_all(target_text, '[\\x{{3400}}-\\x{{9fff}}]')) AS cjk, len(regexp_extract_all(target_text, '[A-Za-z]')) AS latin FROM r WHERE target_text <> '')
+    SELECT id, source_type, source_id, parent_id, raw_text, context_text, target_text, '[CONTEXT]' || chr(10) || coalesce(nullif(context_text, ''), '(none)') || chr(10) || chr(10) || '[TARGET]' || chr(10) || target_text AS model_input, target_text AS clean_text,
+      CASE WHEN cjk > 0 AND cjk >= latin * 0.2::DOUBLE THEN 'zh' WHEN latin > 0 THEN 'en' ELSE 'unknown' END AS language, content_hash, 'clean-v1' AS cleaning_version, nullif(min(id) OVER (PARTITION BY content_hash), id) AS duplicate_of_id,
+      source_updated_at, TIMESTAMP '2026-01-01 00:00:00' AS created_at, TIMESTAMP '2026-01-01 00:00:00' AS updated_at FROM k"""
+
 QUERIES = {
     "corpus_candidates": candidates,
     "corpus_build": corpus_build,
+    "corpus_build_counts": corpus_build_counts,
+    "clean_text": cleaned,
+    "nfkc_text": normalised,
     "corpus_raw": corpus_raw,
     "clean_text_native": clean_text_native,
     "strip_html_comments": strip_html_comments,
@@ -140,6 +189,11 @@ QUERIES = {
 }
 SQL = {
     "corpus_candidates": _CANDIDATES,
+    "corpus_build": _BUILT,
+    "corpus_build_counts": f"""WITH k AS ({_BUILT}), n AS (SELECT count(*) AS n_read FROM ({_CANDIDATES}))
+        SELECT build, n_read, n_written, n_duplicates, n_read - n_written AS n_empty, n_written AS rows, n_written AS highest_id FROM n, (SELECT count(*) AS n_written, count(duplicate_of_id) AS n_duplicates FROM k), (VALUES (0), (1)) v(build)""",
+    "clean_text": f"SELECT doc_id, {_clean('coalesce(y, text)')} AS cleaned FROM documents LEFT JOIN ({_nfkc_sql('SELECT text FROM documents', 'text')}) n ON n.x = text",
+    "nfkc_text": f"SELECT doc_id, coalesce(y, text) AS text FROM documents LEFT JOIN ({_nfkc_sql('SELECT text FROM documents', 'text')}) n ON n.x = text",
     "corpus_raw": f"SELECT source_type, source_id, parent_id, {_RAW} AS raw_text, {_HASH} AS content_hash FROM ({_CANDIDATES})",
     "clean_text_native": f"SELECT doc_id, {_clean('text')} AS cleaned FROM documents",
     "strip_html_comments": "SELECT DISTINCT id, regexp_replace(body, '<!--.*?-->', '', 'gs') AS body FROM issues",
