@@ -8,6 +8,9 @@ candidates that are seeds or stand in trusted patterns. After ROUNDS rounds trus
 
 from __future__ import annotations
 
+import bisect
+import hashlib
+import itertools
 import re
 import unicodedata
 from collections.abc import Iterator
@@ -26,9 +29,10 @@ TRUSTED, LEAST_USES = 0.3, 3
 #: Share of certain or trusted uses that makes a pattern or an instance fully trusted.
 ENOUGH = 0.2
 
-# fixed values: words of street names, of flats, and titles
-STREETS = "Street|St|Road|Rd|Avenue|Ave|Lane|Ln|Drive|Dr|Court|Ct|Boulevard|Blvd"
-GERMAN = "straße|strasse|str\\.|weg|gasse|allee|platz"
+#: Letters and digits of the longest identity numbers in use, those of bank accounts (ISO 13616); a longer run is a list or a dump.
+LONGEST_ID = 34
+
+# fixed values: words of flats, and titles
 FLATS = "Flat|Apt|Apartment|Unit|Suite|Room"
 TITLES = "Dr|Prof|Mr|Mrs|Ms|Miss|Herr|Frau|Mme|Mlle|Sr|Sra|Dra"
 ID_SEEDS = ("ssn", "passport")
@@ -47,8 +51,7 @@ _ADDRESS = re.compile(
     rf"(?<![\w@/.-])(?:"
     rf"(?:{_FLAT},?[ \n])?\d{{1,5}}[A-Za-z]? (?:[A-Z][^\W\d_]+ ){{1,2}}(?P<type>[A-Z][^\W\d_]+)\b\.?(?:,?[ \n]{_FLAT})?{_PLACE}?"
     rf"|(?P<box>P\. ?O\. ?Box|PO Box|Postfach) \d+{_PLACE}?"
-    rf"|(?P<german>{_CITY}(?:{GERMAN}))(?: | )\d{{1,4}}[a-z]?{_PLACE}?"
-    rf"|(?P<word>{_CITY}\.?) \d{{1,4}}[a-z]?, ?\d{{5}} {_CITY}"
+    rf"|(?P<word>{_CITY}\.?)[ \xa0]\d{{1,4}}[a-z]?{_PLACE}?"
     rf")(?!\w)"
 )
 _CAP = r"[A-ZÀ-ÖØ-Þ][a-zß-öø-ÿ]+(?:['’][A-Z]?[a-z]+)?(?:-[A-ZÀ-ÖØ-Þ][a-zß-öø-ÿ]+)*"
@@ -69,22 +72,32 @@ def normalise(text: str) -> str:
 
 
 def _left(text: str, at: int, n: int = 2) -> str | None:
-    line = text[max(0, text.rfind("\n", 0, at) + 1, at - 80) : at]
-    w = [x for x in _WORD.findall(line.lower()) if x not in _NO_CONTEXT]
-    return " ".join(w[-n:]) or None
+    """The last n words before a place in its line; looks back as far as they take."""
+    line, size = text.rfind("\n", 0, at) + 1, 80
+    while True:
+        start = max(line, at - size)
+        w = [x for x in _WORD.findall(text[start:at].lower()) if x not in _NO_CONTEXT]
+        if start == line or len(w) > n:  # the first one may be cut
+            return " ".join(w[-n:]) or None
+        size *= 4
+
+
+def _sentences(text: str) -> list[int]:
+    """Where sentences begin."""
+    return [0] + [m.end() for m in _SENTENCE.finditer(text) if text[max(0, m.end() - 3) : m.end()].lower() != "no."]
 
 
-def _head(text: str, at: int) -> str | None:
-    before = text[max(0, at - 160) : at]
-    cut = [m.end() for m in _SENTENCE.finditer(before) if not before[: m.end()].lower().endswith("no.")]
-    w = _WORD.findall(before[cut[-1] if cut else 0 :].lower())
-    return " ".join(w[:3]) if len(w) > 3 else None
+def _head(text: str, at: int, begins: list[int]) -> str | None:
+    """The first words of the sentence up to a place, if there are more of them."""
+    w = [m[0] for m in itertools.islice(_WORD.finditer(text, begins[bisect.bisect_right(begins, at) - 1], at), 4)]
+    return " ".join(w[:3]).lower() if len(w) > 3 else None
 
 
 def _right(text: str, at: int, n: int = 2) -> str | None:
+    """The first n words after a place in its line."""
     stop = text.find("\n", at)
-    w = [x for x in _WORD.findall(text[at : at + 60 if stop < 0 else min(stop, at + 60)].lower()) if x not in _NO_CONTEXT]
-    return " ".join(w[:n]) or None
+    after = (m[0].lower() for m in _WORD.finditer(text, at, len(text) if stop < 0 else stop))
+    return " ".join(itertools.islice((x for x in after if x not in _NO_CONTEXT), n)) or None
 
 
 def _shape(s: str) -> str:
@@ -113,11 +126,12 @@ def mentions(text: str) -> list[tuple]:
         for m in _ADDRESS.finditer(text):
             if not free(*m.span()):
                 continue
-            kind_of = m["type"] or (m["box"] and "box") or (m["german"] and "german") or m["word"]
-            known = bool(m["box"] or m["german"] or re.fullmatch(STREETS, m["type"] or ""))
             zipped = bool(re.search(r"\d{5} |\d{5}$", m[0][1:]) or re.search(rf"\b(?:{FLATS})\b", m[0]))
-            out.append(("address", *m.span(), known or (zipped and not m["word"]), kind_of.lower(), None, _left(text, m.start()), None))
-            if known or zipped:
+            # kinds of streets are induced: a word of their own in English, the end of a word in German
+            kind_of = (m["type"] or (m["box"] and "box") or "-" + m["word"].rstrip(".")[-3:]).lower()
+            seed = zipped or bool(m["box"])
+            out.append(("address", *m.span(), seed, kind_of, None, _left(text, m.start()), None))
+            if seed:
                 taken.append(m.span())
         for m in _PHONE.finditer(text):
             if not free(*m.span()):
@@ -130,12 +144,13 @@ def mentions(text: str) -> list[tuple]:
             out.append(("phone", *m.span(), seed, _shape(main), None, _left(text, m.start()), _right(text, m.end())))
             if seed:
                 taken.append(m.span())
+        begins = _sentences(text)
         for m in _ID.finditer(text):
-            if sum(map(str.isdigit, m[0])) < 6 or len(m[0]) > 30 or not free(*m.span()):
+            if sum(map(str.isdigit, m[0])) < 6 or sum(map(str.isalnum, m[0])) > LONGEST_ID or not free(*m.span()):
                 continue
             left = _left(text, m.start(), 3)
             seed = any(k in (left or "").split() for k in ID_SEEDS)
-            frame = " | ".join((_head(text, m.start()) or "?", _right(text, m.end(), 1) or "?"))
+            frame = " | ".join((_head(text, m.start(), begins) or "?", _right(text, m.end(), 1) or "?"))
             out.append(("id_number", *m.span(), seed, _left(text, m.start()), None, None, frame))
     if has_cap:
         for m in _TITLED.finditer(text):
@@ -153,7 +168,7 @@ def mentions(text: str) -> list[tuple]:
     return out
 
 
-CANDIDATES = "table_name string, record_id long, kind string, start int, stop int, seed boolean, inst string, inst2 string, l string, r string"
+CANDIDATES = "text_hash long, table_name string, record_id long, kind string, start int, stop int, seed boolean, inst string, inst2 string, l string, r string"
 
 
 def candidates(rows: DataFrame) -> DataFrame:
@@ -162,7 +177,12 @@ def candidates(rows: DataFrame) -> DataFrame:
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         names = [c.split()[0] for c in CANDIDATES.split(", ")]
         for pdf in batches:
-            out = [(t, i, *m) for t, i, text in zip(pdf["table_name"], pdf["record_id"], pdf["text"]) for m in mentions(normalise(text))]
+            out = []
+            for t, i, text in zip(pdf["table_name"], pdf["record_id"], pdf["text"]):
+                plain = normalise(text)
+                if found := mentions(plain):
+                    h = int.from_bytes(hashlib.blake2b(plain.encode("utf-8", "replace"), digest_size=8).digest(), "big", signed=True)
+                    out += [(h, t, i, *m) for m in found]
             yield pd.DataFrame(out, columns=names)
 
     return rows.where("record_id is not null and text is not null").select("table_name", "record_id", "text").mapInPandas(run, CANDIDATES)
@@ -171,13 +191,18 @@ def candidates(rows: DataFrame) -> DataFrame:
 def bootstrap(found: DataFrame, cuts: Cuts, rounds: int = ROUNDS) -> tuple[DataFrame, DataFrame]:
     """Confidence of patterns (kind, side, p, pc) and of instances (kind, inst, ic), scored in turns over their graph.
 
+    Without rounds nothing but seeds is trusted.
     The graph's edges are aggregated first: their number grows with the different patterns and instances, not the rows.
+    Copies of a text count once, so no text weighs more for being delivered often.
     """
-    edges = cuts.cut(found.groupBy("kind", "inst", "l", "r").agg(F.sum(F.col("seed").cast("int")).alias("s"), F.count(F.lit(1)).alias("n")), "edges")
+    once = found.dropDuplicates(["text_hash", "kind", "start", "stop"])
+    edges = cuts.cut(once.groupBy("kind", "inst", "l", "r").agg(F.sum(F.col("seed").cast("int")).alias("s"), F.count(F.lit(1)).alias("n")), "edges")
     sides = F.explode(F.array(F.struct(F.lit("l").alias("side"), F.col("l").alias("p")), F.struct(F.lit("r").alias("side"), F.col("r").alias("p")))).alias("x")
     # shapes of numbers are shared with other numbers, so they don't make a pattern trusted
     open_kind = F.col("kind") != "phone"
     inst = cuts.cut(edges.groupBy("kind", "inst").agg(F.least(F.lit(1.0), F.sum("s") / (F.lit(ENOUGH) * (F.sum("n") + 1))).alias("ic")), "inst0")
+    if not rounds:
+        return edges.select("kind", F.lit("l").alias("side"), F.col("l").alias("p"), F.lit(0.0).alias("pc")).limit(0), inst.limit(0)
     for k in range(rounds):
         joined = edges.join(inst, ["kind", "inst"], "left")
         trust = F.col("s") + (F.col("n") - F.col("s")) * F.when(open_kind, F.coalesce("ic", F.lit(0.0))).otherwise(0.0)
@@ -192,7 +217,7 @@ def bootstrap(found: DataFrame, cuts: Cuts, rounds: int = ROUNDS) -> tuple[DataF
     return pats, inst
 
 
-def find_personal(rows: DataFrame) -> DataFrame:
+def find_personal(rows: DataFrame, rounds: int = ROUNDS) -> DataFrame:
     """(table_name, record_id, kind, mention_no, start, stop): the mentions in rows (table_name, record_id, text), each record once.
 
     Offsets refer to the normalised text. Mentions of a kind in a record are counted from 1 in order. Records delivered
@@ -200,7 +225,7 @@ def find_personal(rows: DataFrame) -> DataFrame:
     """
     cuts = Cuts(rows.sparkSession, "personal")
     found = cuts.cut(candidates(rows).distinct(), "candidates")
-    pats, inst = bootstrap(found, cuts)
+    pats, inst = bootstrap(found, cuts, rounds)
     left = pats.where("side = 'l'").select("kind", F.col("p").alias("l"), F.col("pc").alias("cl"))
     right = pats.where("side = 'r'").select("kind", F.col("p").alias("r"), F.col("pc").alias("cr"))
     given = inst.select("kind", "inst", "ic")

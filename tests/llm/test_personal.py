@@ -37,6 +37,35 @@ def test_contexts_find_what_seeds_dont(spark):
     assert find_personal(df.limit(0)).count() == 0
 
 
+def test_the_graph_judges_addresses(spark):
+    """Kinds of streets are learnt from addresses with a postal code; other numbers after or before a name stay."""
+    sure = [f"Ship it to {n} Elm Wynd, Borrowick {10000 + n} please." for n in range(11, 21)] + [f"Der Kurier fand Lindenpfad {n}, {20000 + n} Norrbeck nicht." for n in range(11, 21)]
+    open_ = ["We met at 31 Oak Wynd again.", "Treffpunkt ist Eichenpfad 7 heute."]
+    decoys = ["We met at 31 New Reviewers again.", "See Version 7 today."] + [f"It fails in Chapter {n} too." for n in range(9)]
+    df = spark.createDataFrame([("t", i, x) for i, x in enumerate(sure + open_ + decoys)], "table_name string, record_id long, text string")
+    judged = {r.record_id for r in find_personal(df).where("kind = 'address'").collect()}
+    assert judged == set(range(22))
+    assert {r.record_id for r in find_personal(df, rounds=0).where("kind = 'address'").collect()} == set(range(20))
+
+
+def test_copies_of_a_text_count_once(spark):
+    names = [("Ann Berg", 0), ("Bob Holm", 1), ("Cleo Vist", 2), ("Dan Mark", 3)]
+    text = [f"Reported by {n} <x{i}@m.example>" for n, i in names] + ["Reported by Release Notes today."] * 200 + ["Reported by Eve Sand."]
+    df = spark.createDataFrame([("t", i, x) for i, x in enumerate(text)], "table_name string, record_id long, text string")
+    assert {r.record_id for r in find_personal(df).where("kind = 'name'").collect()} >= {0, 1, 2, 3, len(text) - 1}
+
+
+def test_contexts_are_whole():
+    """However long the words, the line or the sentence are."""
+    from loomstead.llm.personal import _head, _left, _right, _sentences
+
+    long = "w" * 500
+    assert _left(f"x {long} {long} 1", 1003) == f"{long} {long}" and _right(f"1 {long} {long} z", 1) == f"{long} {long}"
+    t = "One. Two three four " + "five " * 100 + "6"
+    assert _head(t, len(t) - 1, _sentences(t)) == "two three four" and _head("A b 1", 4, [0]) is None
+    assert _left("a\nb 1", 4) == "b" and _right("1 b\nc", 1) == "b"
+
+
 def test_long_text_and_the_tables(spark):
     assert mentions("x" * 200_000) == [] and len(mentions("1 " * 20_000)) < 10
     got = p4_found(spark, DATA).collect()
