@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import contextlib
 import os
 import uuid
 from collections.abc import Callable, Iterable, Mapping
@@ -52,6 +53,7 @@ class Settings:
     model_url: str = ""
     model_name: str = ""
     label_partitions: int = 20
+    label_slice: int = 5000
     log_level: str = "INFO"
 
     @classmethod
@@ -284,10 +286,11 @@ class Pipeline:
         if not names:
             raise ValueError("no repository is enabled; add one first")
         s = self.settings
-        client = self.client or Client(s.token, s.api_url, s.timeout_seconds, s.retries, {"X-GitHub-Api-Version": s.api_version})
-        collector = Collector(client, self.store, s.overlap_seconds, now=self.now)
-        beat = lambda: Runs(self.store, self.now).heartbeat(run)
-        done = {name: collector.repository(name, run, beat) for name in names}
+        with contextlib.ExitStack() as stack:
+            client = self.client or stack.enter_context(Client(s.token, s.api_url, s.timeout_seconds, s.retries, {"X-GitHub-Api-Version": s.api_version}))
+            collector = Collector(client, self.store, s.overlap_seconds, now=self.now)
+            beat = lambda: Runs(self.store, self.now).heartbeat(run)
+            done = {name: collector.repository(name, run, beat) for name in names}
         failed = sum(x["status"] == FAILED for streams in done.values() for x in streams.values())
         return {"repositories": done, "failed_streams": failed}
 
@@ -299,16 +302,25 @@ class Pipeline:
         return stats
 
     def label(self) -> dict:
-        completer = self.completer
-        if completer is None:
-            self.settings.need(model_key="label", model_url="label", model_name="label")
-            s = self.settings
-            completer = ChatCompleter(s.model_key, s.model_url, s.model_name, prompt(), max(60, s.timeout_seconds), s.retries)
-        cuts = Cuts(self.store.spark, "labels")
-        work = A.queue(self.store.read("corpus"), self.store.read("llm_annotations"), completer.model)
-        rows = cuts.cut(A.label(work, completer, at(self.now()), self.settings.label_partitions), "answers")  # asked once
-        self.store.upsert(llm_annotations=rows)
-        return A.label_stats(rows).first().asDict()
+        """Label the queue in slices by id. Each slice's answers are stored before the next is asked, so a run that ends early
+        keeps them and the next one asks for the rest. A model that was made here is closed in all cases."""
+        s, completer = self.settings, self.completer
+        with contextlib.ExitStack() as stack:
+            if completer is None:
+                s.need(model_key="label", model_url="label", model_name="label")
+                completer = stack.enter_context(ChatCompleter(s.model_key, s.model_url, s.model_name, prompt(), max(60, s.timeout_seconds), s.retries))
+            cuts = Cuts(self.store.spark, "labels")
+            work = cuts.cut(A.queue(self.store.read("corpus"), self.store.read("llm_annotations"), completer.model), "queue")
+            total, last = {"read": 0, "succeeded": 0, "failed": 0}, 0
+            while True:
+                part = work.where(F.col("id") > last).orderBy("id").limit(s.label_slice)
+                rows = cuts.cut(A.label(part, completer, at(self.now()), s.label_partitions), "answers")  # asked once
+                done = A.label_stats(rows).crossJoin(rows.agg(F.max("corpus_id").alias("last"))).first().asDict()
+                if not done["read"]:
+                    return total
+                self.store.upsert(llm_annotations=rows)
+                total, last = {k: n + done[k] for k, n in total.items()}, done["last"]
+                cuts.drop(rows)
 
     def run(self, run: str, skip_label: bool = False) -> dict:
         """Collect, build, label; failed streams end it after collecting."""

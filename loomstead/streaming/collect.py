@@ -10,9 +10,8 @@ from collections.abc import Callable
 from dataclasses import asdict, dataclass
 from datetime import datetime
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from loomstead.operators import ingest as I
 from loomstead.operators.upsert import keep_last, update_where
@@ -21,6 +20,7 @@ from loomstead.sources.shared import Cuts
 from loomstead.sources.store import Store
 
 LANDED = "repository_id long, stream string, item string"
+UNREADABLE = "unreadable"
 
 
 class NoPosition(RuntimeError):
@@ -52,6 +52,8 @@ def cursor_row(store: Store, repository_id: int, stream: str, value: datetime, n
 
 #: Looks up the numbers of parents that aren't stored: rows (number, item, reason), item null where there is none.
 Lookup = Callable[[int, list[int]], DataFrame]
+#: Parses items of a stream: (items, stream, time of collection) to rows.
+Parser = Callable[[DataFrame, str, Column], DataFrame]
 
 
 def supplement(store: Store, repository_id: int, unknown: DataFrame, lookup: Lookup | None, pr_only: bool, now: datetime, cuts: Cuts) -> tuple[dict[str, DataFrame], DataFrame | None]:
@@ -65,22 +67,29 @@ def supplement(store: Store, repository_id: int, unknown: DataFrame, lookup: Loo
     if not numbers:
         return {}, None
     got = cuts.cut(lookup(repository_id, numbers).select("number", "item", "reason"), "supplement")
-    found = I.parse(got.where("item is not null").withColumn("repository_id", F.lit(repository_id).cast("long")), I.STREAMS[0], at(now)).where("problem is null")
+    asked = lambda name: F.col("asked").cast("int").alias(name)
+    parsed = cuts.cut(I.parse(got.where("item is not null").withColumnRenamed("number", "asked").withColumn("repository_id", F.lit(repository_id).cast("long")), I.STREAMS[0], at(now)), "looked-up")
+    found = parsed.where("problem is null")
     batches = {"pull_requests": found.where("is_pr")}
     if not pr_only:
         batches["issues"] = found.where("not is_pr")
     reason = F.when(F.col("item").isNull(), F.col("reason"))
     if pr_only:
         reason = reason.when(~I.has_key(F.col("item"), "pull_request"), "the parent is an issue, not a pull request")
-    return batches, got.select(F.col("number").cast("int").alias("parent_number"), reason.alias("why")).where("why is not null")
+    lost = got.select(F.col("number").cast("int").alias("parent_number"), reason.alias("why"))
+    unread = parsed.where("problem is not null").select(asked("parent_number"), F.concat(F.lit("the parent that was found can't be read: "), "problem").alias("why"))
+    return batches, lost.unionByName(unread).where("why is not null").groupBy("parent_number").agg(F.min("why").alias("why"))
 
 
-def collect_batch(store: Store, repository_id: int, stream: str, items: DataFrame, now: datetime, lookup: Lookup | None = None, stats: Stats | None = None) -> Stats:
-    """Parse, quarantine, route and merge the items of one batch, and advance the cursor, in one commit."""
+def collect_batch(store: Store, repository_id: int, stream: str, items: DataFrame, now: datetime, lookup: Lookup | None = None, stats: Stats | None = None, parse: Parser = I.parse) -> Stats:
+    """Parse, quarantine, route and merge the items of one batch, and advance the cursor, in one commit.
+
+    ``parse`` may be any function that gives the columns and the ``problem`` that ``ingest.parse`` gives.
+    """
     stats = stats or Stats()
     cuts = Cuts(store.spark, "collect")
     here = items.withColumn("repository_id", F.lit(repository_id).cast("long")).withColumn("_n", F.monotonically_increasing_id())
-    rows = cuts.cut(I.parse(here, stream, at(now)), "parsed")
+    rows = cuts.cut(parse(here, stream, at(now)), "parsed")
     n = rows.agg(F.count(F.lit(1)).alias("read"), F.count_if(F.col("problem").isNotNull()).alias("bad")).first()
     stats.pages_read += 1
     stats.items_read += n["read"]
@@ -162,20 +171,27 @@ def collect_landed(store: Store, folder: str, checkpoint: str, now: Callable[[],
     """Collect a folder of landed JSON lines (LANDED) with Structured Streaming until nothing new is left.
 
     A batch holds at most ``files_per_batch`` files. Within it the streams go in order, so parents come before comments.
-    Batches may be delivered again after a failure: merges make that harmless.
+    Batches may be delivered again after a failure: merges make that harmless. Lines that aren't such JSON, or name no known
+    stream, go to quarantine under the stream ``unreadable``.
     """
     done: list[Stats] = []
 
     def one(batch: DataFrame, _: int) -> None:
         cuts = Cuts(store.spark, "landed")
-        rows = cuts.cut(batch, "batch")
-        groups = {(r["repository_id"], r["stream"]) for r in rows.select("repository_id", "stream").distinct().collect()}
+        rows = cuts.cut(batch.select("value", F.from_json("value", LANDED).alias("r")).select("value", "r.*"), "batch")
+        known = F.coalesce(F.col("repository_id").isNotNull() & F.col("item").isNotNull() & F.col("stream").isin(*I.STREAMS), F.lit(False))
+        good = rows.where(known)
+        # a line that tells no repository, stream or item can't be collected, nor must it stop the rest
+        odd = rows.where(~known).select(F.coalesce("repository_id", F.lit(0)).alias("repository_id"), F.col("value").alias("item"))
+        dead = I.quarantine(odd, UNREADABLE, I.INVALID, F.lit("the line names no repository, stream or item"), at(now()))
+        dead = cuts.cut(dead.dropDuplicates([*KEYS["unresolved_collection_items"]]), "unreadable")
+        store.upsert(unresolved_collection_items=dead)
+        groups = {(r["repository_id"], r["stream"]) for r in good.select("repository_id", "stream").distinct().collect()}
         for repository_id, stream in sorted(groups, key=lambda g: (g[0], I.STREAMS.index(g[1]))):
-            part = rows.where((F.col("repository_id") == repository_id) & (F.col("stream") == stream)).select("item")
+            part = good.where((F.col("repository_id") == repository_id) & (F.col("stream") == stream)).select("item")
             done.append(collect_batch(store, repository_id, stream, part, now()))
 
-    schema = T.StructType.fromDDL(LANDED) if hasattr(T.StructType, "fromDDL") else LANDED
-    source = store.spark.readStream.schema(schema).option("maxFilesPerTrigger", files_per_batch).json(folder)
+    source = store.spark.readStream.option("maxFilesPerTrigger", files_per_batch).text(folder)
     source.writeStream.foreachBatch(one).option("checkpointLocation", checkpoint).trigger(availableNow=True).start().awaitTermination()
     return done
 

@@ -6,7 +6,7 @@ import pytest
 from loomstead.control import Collector, Pipeline, Repositories, Runs, Settings
 from loomstead.operators import ingest as I
 from loomstead.sources.rest import Client, RequestError, Response
-from loomstead.sources.store import AlreadyRunning, Store
+from loomstead.sources.store import AlreadyRunning, Conflict, Store
 from loomstead.streaming.collect import NoPosition, collect_batch, collect_landed, cursor_of
 
 NOW = datetime(2025, 6, 1)
@@ -152,11 +152,11 @@ def test_commit_is_all_or_nothing_and_tries_again(spark, store, monkeypatch):
     store.create()
     before, real, n = store.versions(), Store._switch, []
 
-    def broken(self, versions):
+    def broken(self, *a):
         n.append(1)
         if len(n) < 3:
             raise OSError("busy")
-        real(self, versions)
+        real(self, *a)
 
     monkeypatch.setattr(Store, "_switch", broken)
     store.commit({"repositories": store.read("repositories")})
@@ -168,6 +168,120 @@ def test_commit_is_all_or_nothing_and_tries_again(spark, store, monkeypatch):
     assert store.versions() == held
 
 
+def test_two_writers(spark, store, monkeypatch):
+    """Changes of different tables both hold; of two changes to one table the later one ends."""
+    store.create()
+    other, real = Store(spark, store.base), Store._switch
+
+    def meanwhile(table):
+        def switch(self, seen, written):
+            monkeypatch.setattr(Store, "_switch", real)
+            other.commit({table: other.read(table)})
+            real(self, seen, written)
+
+        monkeypatch.setattr(Store, "_switch", switch)
+
+    before = store.versions()
+    meanwhile("corpus")
+    store.commit({"issues": store.read("issues")})
+    assert {t for t, v in store.versions().items() if v != before[t]} == {"issues", "corpus"}
+    meanwhile("issues")
+    with pytest.raises(Conflict):
+        store.commit({"issues": store.read("issues")})
+
+
+def test_a_failed_write_is_tried_again(spark, store):
+    slept, fails = [], [True, True]
+    store.sleep = slept.append
+    store.create()
+
+    class Frame:
+        """A table whose first writes fail."""
+
+        def __init__(self, df):
+            self.df = df
+
+        @property
+        def write(self):
+            if fails:
+                fails.pop()
+                raise OSError("lost a node")
+            return self.df.write
+
+    store.commit({"repositories": Frame(store.read("repositories"))})
+    assert slept == [1.0, 2.0] and store.read("repositories").count() == 0
+
+
+def test_lock_of_a_process_that_is_gone(store):
+    import json as j
+    import os
+    import socket
+
+    path = f"{store.base}/run.lock"
+    os.makedirs(store.base)
+    with open(path, "w") as f:
+        j.dump({"host": "another machine", "pid": 1, "run": "x"}, f)
+    with pytest.raises(AlreadyRunning), store.lock():
+        pass
+    with open(path, "w") as f:
+        j.dump({"host": socket.gethostname(), "pid": 2**22 + 1, "run": "x"}, f)
+    with store.lock(), pytest.raises(AlreadyRunning), store.lock():
+        pass
+    assert os.listdir(store.base) == []
+
+
+def test_landed_lines_that_cant_be_read(spark, store, tmp_path):
+    store.create()
+    folder = tmp_path / "lines"
+    folder.mkdir()
+    good = json.dumps({"repository_id": 1, "stream": "issues_and_pull_requests", "item": json.dumps(issue(1))})
+    (folder / "a.json").write_text("\n".join(["{broken", good, json.dumps({"repository_id": 2, "stream": "stars", "item": "{}"}), json.dumps({"stream": "issue_comments"}), "{broken"]) + "\n")
+    collect_landed(store, str(folder), str(tmp_path / "cp2"), lambda: NOW)
+    assert store.read("issues").count() == 1
+    dead = store.read("unresolved_collection_items").where("stream = 'unreadable'").collect()
+    assert sorted(r.repository_id for r in dead) == [0, 0, 2] and {r.category for r in dead} == {"invalid_record"}
+
+
+def test_a_parser_of_ones_own(spark, store):
+    from pyspark.sql import functions as F
+
+    from loomstead.operators import ingest
+
+    store.create()
+    mine = lambda items, stream, when: ingest.parse(items, stream, when).withColumn("title", F.upper("title"))
+    rows = spark.createDataFrame([(json.dumps(issue(1) | {"title": "odd"}),)], "item string")
+    collect_batch(store, 1, "issues_and_pull_requests", rows, NOW, parse=mine)
+    assert store.read("issues").first().title == "ODD"
+
+
+def test_labels_are_stored_slice_by_slice(spark, store):
+    """A run that breaks off keeps the answers of the slices before."""
+    from loomstead.operators.corpus import build_corpus, corpus_candidates
+    from loomstead.operators.annotations import NoOpinion
+    from loomstead.streaming.collect import at
+
+    store.create()
+    rows = spark.createDataFrame([(json.dumps(issue(n)),) for n in range(1, 6)], "item string")
+    collect_batch(store, 1, "issues_and_pull_requests", rows, NOW)
+    store.commit({"corpus": build_corpus(store.read("corpus"), corpus_candidates(*(store.read(t) for t in ("issues", "pull_requests", "issue_comments", "pr_comments"))), at(NOW))[0]})
+    p, real, calls = Pipeline(Settings(label_slice=2), store, lambda: NOW, completer=NoOpinion()), Store.upsert, []
+
+    def lost(self, *a, **k):
+        calls.append(1)
+        if len(calls) == 2:
+            raise RuntimeError("the driver was lost")
+        real(self, *a, **k)
+
+    Store.upsert = lost
+    try:
+        with pytest.raises(RuntimeError):
+            p.label()
+    finally:
+        Store.upsert = real
+    assert store.read("llm_annotations").count() == 2
+    assert p.label() == {"read": 3, "succeeded": 3, "failed": 0} and store.read("llm_annotations").count() == 5
+
+
 def test_runs_lock_and_pipeline(spark, store):
     repos, runs = Repositories(store, lambda: NOW), Runs(store, lambda: NOW)
     assert repos.bootstrap(["b/b", "a/a", "b/b"]) == 2 and repos.bootstrap(["c/c"]) == 0
