@@ -21,6 +21,14 @@ def keep_last(rows: DataFrame, keys: Sequence[str], order: Sequence[str | Column
     return best.select(*[F.col(c) if c in keys else F.col(f"_r.{c}").alias(c) for c in rows.columns])
 
 
+def _spread(columns: Sequence[str], keys: Sequence[str]) -> Column:
+    """0, or a hash of the whole row where a key is null: such rows match nothing and needn't meet in one task."""
+    lost = F.lit(False)
+    for k in keys:
+        lost = lost | F.col(k).isNull()
+    return F.when(lost, F.xxhash64(*columns)).otherwise(F.lit(0).cast("long"))
+
+
 def upsert(base: DataFrame, batch: DataFrame, keys: Sequence[str], updates: Sequence[str], order: Sequence[str | Column] | None = None) -> DataFrame:
     """``base`` after ``batch``: unknown keys are added, of known ones only ``updates`` change, to nulls too.
 
@@ -31,12 +39,12 @@ def upsert(base: DataFrame, batch: DataFrame, keys: Sequence[str], updates: Sequ
     if order is not None:
         batch = keep_last(batch, keys, order)
     have = [c for c in base.columns if c in batch.columns]
-    b, n = base.alias("b"), batch.select(*have).withColumn("_hit", F.lit(True)).alias("n")
-    on = None
+    b = base.withColumns({"_old": F.lit(True), "_spread": _spread(base.columns, keys)}).alias("b")
+    n = batch.select(*have).withColumns({"_hit": F.lit(True), "_spread": _spread(have, keys)}).alias("n")
+    on = F.col("b._spread") == F.col("n._spread")
     for k in keys:
-        one = F.col(f"b.{k}") == F.col(f"n.{k}")
-        on = one if on is None else on & one
-    both = b.withColumn("_old", F.lit(True)).alias("b").join(n, on, "full_outer")
+        on = on & (F.col(f"b.{k}") == F.col(f"n.{k}"))
+    both = b.join(n, on, "full_outer")
     out = []
     for c in base.columns:
         if c not in have:

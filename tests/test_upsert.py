@@ -48,3 +48,16 @@ def test_a_hot_key_is_joined_as_any_other(spark):
     assert got.count() == 9000
     assert {r[0]: r[1] for r in got.groupBy("v").count().collect()} == {"hot": 6000, "cold": 1, None: 2999}
     assert join_unique(left, right, ["k"], "inner").count() == 6001
+
+
+def test_null_keys_match_nothing_and_spread(spark):
+    base = spark.createDataFrame([(None, "a", 1), (1, "b", 2), (None, None, 3)], "k int, m string, v int")
+    batch = spark.createDataFrame([(None, "a", 9), (1, "b", 8), (1, None, 7)], "k int, m string, v int")
+    got = sorted(map(tuple, upsert(base, batch, ("k", "m"), ("v",)).collect()), key=repr)
+    assert got == sorted([(None, "a", 1), (None, "a", 9), (None, None, 3), (1, "b", 8), (1, None, 7)], key=repr)
+    many = spark.range(4000).selectExpr("cast(null as int) as k", "'x' as m", "cast(id as int) as v")
+    out = upsert(base, many, ("k", "m"), ("v",))
+    assert out.count() == 4003
+    from loomstead.operators.upsert import _spread
+
+    assert many.select(_spread(many.columns, ("k", "m")).alias("s")).distinct().count() == 4000
